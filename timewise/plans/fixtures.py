@@ -93,3 +93,47 @@ def with_sales(sql_body: str, *ctes: str) -> str:
     """Prefix a DuckDB query with the ``sales`` view and further CTEs."""
     parts = [SALES_SQL.strip()] + [c.strip() for c in ctes]
     return "WITH " + ",\n".join(parts) + "\n" + sql_body
+
+
+def _clean_sql(e: str) -> str:
+    from timewise.functions.text import clean_text_sql
+    return clean_text_sql(e)
+
+
+_AGE_SQL = "date_diff('day', registrationDate, saleDate) / 365.25"
+_YI_SQL = "CASE WHEN yearIntroduced >= 1900 THEN yearIntroduced END"
+
+# The ``st`` CTE: sales after the fixed cleaning steps (the SQL twin of
+# ``timewise.operators.clean.stateless_steps``).
+CLEAN_SQL = f"""
+st AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, saleDate,
+         {_YI_SQL} AS yearIntroduced,
+         kilometers,
+         CASE WHEN cubeCapacity > 0 THEN cubeCapacity END AS cubeCapacity,
+         cylinder, powerKW, powerHP,
+         TRY_CAST(trim(doorNumber) AS DOUBLE) AS doorNumber,
+         {_clean_sql('colour')} AS colour,
+         {_clean_sql('aestheticGrade')} AS aestheticGrade,
+         {_clean_sql('mechanicalGrade')} AS mechanicalGrade,
+         {_clean_sql('type')} AS type,
+         {_clean_sql('fuel')} AS fuel,
+         {_clean_sql('transmission')} AS transmission,
+         targetPrice,
+         year(saleDate) AS sale_year,
+         CAST(year(saleDate) AS DOUBLE) - {_YI_SQL} AS years_since_intro_at_sale,
+         month(saleDate) AS sale_month,
+         {_AGE_SQL} AS vehicle_age_years,
+         kilometers / nullif({_AGE_SQL}, 0.0) AS km_per_year,
+         {_clean_sql("(make || '_' || model)")} AS make_model
+  FROM sales WHERE NOT coalesce(yearIntroduced > year(saleDate), false)
+)"""
+
+
+def with_clean(sql_body: str, *ctes: str) -> str:
+    return with_sales(sql_body, CLEAN_SQL, *ctes)
+
+
+def clean_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from timewise.operators.clean import stateless_steps
+    return stateless_steps(sales(spark, sf_dir))

@@ -43,11 +43,14 @@ def running_totals(
     inclusive: bool = False,
     n_blocks: int | None = None,
     checkpoint: bool = True,
+    totals: bool = False,
 ) -> DataFrame:
     """Add one column per measure holding its sum over the rows before this
     one (or up to and including it when ``inclusive``) in ``order_by`` order
     within ``partition_by`` groups.  ``order_by`` must be a total order (end it
-    with a unique tie key) for the result to be deterministic."""
+    with a unique tie key) for the result to be deterministic.  ``totals``
+    also adds ``<measure>__total``, the group's full sum, taken from the
+    block table (no second pass over the rows)."""
     spark = df.sparkSession
     n_blocks = n_blocks or default_blocks(spark)
     part_cols = [F.col(c).asc_nulls_first() for c in partition_by]
@@ -87,6 +90,21 @@ def running_totals(
             (F.coalesce(local[f"_tw_l_{m}"], zero.cast(local.schema[tmp[m]].dataType))
              + F.coalesce(offsets[f"_tw_o_{m}"], zero.cast(local.schema[tmp[m]].dataType))).alias(m)
         )
+    if totals:
+        group_tot = block_tot.groupBy(*partition_by).agg(
+            *[F.sum(f"_tw_t_{m}").alias(f"{m}__total") for m in measures])
+        if partition_by and group_tot.count() <= 1_000_000:
+            group_tot = F.broadcast(group_tot)
+        res = joined.select(*out_cols, *[local[c] for c in partition_by if c not in df.columns])
+        if partition_by:
+            cond = None
+            for c in partition_by:
+                e = res[c].eqNullSafe(group_tot[c])
+                cond = e if cond is None else cond & e
+            return res.join(group_tot, cond, "left").select(
+                *[res[c] for c in res.columns], *[group_tot[f"{m}__total"] for m in measures])
+        row = group_tot.first()  # one row: the grand totals become literals
+        return res.withColumns({f"{m}__total": F.lit(row[f"{m}__total"]) for m in measures})
     return joined.select(*out_cols)
 
 
