@@ -29,7 +29,7 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from timewise.plans import q_clean, q_encode, q_folds, q_metrics, q_profile, q_sanitize, q_shape  # noqa: F401
+    from timewise.plans import q_clean, q_encode, q_folds, q_metrics, q_profile, q_sanitize, q_select, q_shape  # noqa: F401
     for mod in ("q_profile", "q_shape", "q_select", "q_folds", "q_metrics", "q_models", "q_explain",
                 "q_score", "q_io"):
         try:
