@@ -26,18 +26,22 @@ PRED = "prediction"
 def gbt_leafwise(label: str, seed: int = 42, rounds: int = 300, **kw) -> GBTRegressor:
     """Boosted trees in the leaf-wise setting (300 x depth 8, step 0.05,
     80 % rows and columns, >= 20 rows per leaf)."""
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxIter=rounds, stepSize=0.05, maxDepth=8,
-                        subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=20, seed=seed, **kw)
+    p = dict(maxIter=rounds, stepSize=0.05, maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+             minInstancesPerNode=20, seed=seed)
+    return GBTRegressor(featuresCol=FEATURES, labelCol=label, **{**p, **kw})
 
 
 def gbt_depthwise(label: str, seed: int = 43, rounds: int = 300, **kw) -> GBTRegressor:
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, maxIter=rounds, stepSize=0.05, maxDepth=8,
-                        subsamplingRate=0.8, featureSubsetStrategy="0.8", minInstancesPerNode=5, seed=seed, **kw)
+    """Boosted trees in the depth-wise setting (as above, >= 5 rows per leaf)."""
+    p = dict(maxIter=rounds, stepSize=0.05, maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8",
+             minInstancesPerNode=5, seed=seed)
+    return GBTRegressor(featuresCol=FEATURES, labelCol=label, **{**p, **kw})
 
 
 def forest(label: str, seed: int = 44, trees: int = 200, **kw) -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol=FEATURES, labelCol=label, numTrees=trees, maxDepth=12,
-                                 minInstancesPerNode=5, featureSubsetStrategy="0.8", seed=seed, **kw)
+    """Random forest: 200 x depth 12, 80 % features, >= 5 rows per leaf."""
+    p = dict(numTrees=trees, maxDepth=12, minInstancesPerNode=5, featureSubsetStrategy="0.8", seed=seed)
+    return RandomForestRegressor(featuresCol=FEATURES, labelCol=label, **{**p, **kw})
 
 
 def ridge(label: str, alpha: float, n: int, y_sd: float) -> LinearRegression:

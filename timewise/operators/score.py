@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def align(df: DataFrame, features: Sequence[str], fill: float = 0.0) -> DataFrame:
-    """Columns in trained order; missing ones and nulls filled with ``fill``; extras dropped."""
+def align(df: DataFrame, features: Sequence[str], fill: float = 0.0, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns in trained order; missing ones and nulls filled with ``fill``;
+    extras dropped (``keep`` names pass-through key columns)."""
     have = set(df.columns)
     cols = [F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(fill)).alias(c) if c in have
             else F.lit(fill).cast("double").alias(c) for c in features]
-    return df.select(*cols)
+    return df.select(*keep, *cols)
 
 
 def validate(df: DataFrame, schema: Mapping[str, tuple[str, bool]], keep: Sequence[str] = ()) -> DataFrame:
@@ -65,7 +66,13 @@ def score_windows(df: DataFrame, ts: str, col: str, every: str = "15 seconds",
     """Per tumbling window: count, sum, and cumulative bucket counts (wide).
     With a watermark this runs in append mode on a stream; late rows beyond
     the watermark are dropped by Spark's state store."""
-    src = df.withWatermark(ts, watermark) if (watermark and df.isStreaming) else df
+    src = df
+    if watermark and df.isStreaming:
+        from pyspark.sql.types import TimestampNTZType
+        if isinstance(df.schema[ts].dataType, TimestampNTZType):
+            # event-time watermarks need TIMESTAMP; read the wall time in the session zone
+            src = src.withColumn(ts, F.col(ts).cast("timestamp"))
+        src = src.withWatermark(ts, watermark)
     aggs = [F.count(F.col(col)).cast("long").alias("count"), F.sum(col).alias("sum")]
     aggs += [F.count_if(F.col(col) <= F.lit(float(b))).cast("long").alias(f"le_{i}") for i, b in enumerate(buckets)]
     g = src.groupBy(F.window(ts, every).alias("w")).agg(*aggs)

@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, ByteType
+from pyspark.sql.types import ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, ShortType
 
 
 def r6(c: Column | str) -> Column:
@@ -16,7 +16,7 @@ def normalize(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, (DoubleType, FloatType)):
+        if isinstance(f.dataType, (DoubleType, FloatType, DecimalType)):
             cols.append(F.round(c.cast("double"), 6).alias(f.name))
         elif isinstance(f.dataType, (IntegerType, ShortType, ByteType)):
             cols.append(c.cast("long").alias(f.name))
