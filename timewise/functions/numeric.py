@@ -17,6 +17,13 @@ def finite(c: Column | str) -> Column:
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(INF)), F.lit(None).cast("double")).otherwise(c)
 
 
+def finite_frame(df, cols, keep=()):
+    """``df`` reduced to ``keep`` plus the given columns made finite, as one
+    projection below an aggregation (so the cleaning runs once per row, not
+    once per use inside each aggregate's update expressions)."""
+    return df.select(*[F.col(f"`{k}`") for k in keep], *[finite(f"`{c}`").alias(c) for c in cols])
+
+
 def to_number(c: Column | str) -> Column:
     """Text or number to DOUBLE; unparsable, NaN and inf become null."""
     c = _c(c)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timewise.functions.text import clean_text_py
+from timewise.plans.cache import held
 from timewise.plans.prefix import running_totals
 
 BROADCAST_ROWS = 1_000_000  # state tables up to this many rows are broadcast
@@ -130,11 +131,12 @@ class TopShareOneHot:
     max_levels: int = 10_000
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        t = level_shares(df, self.col, self.q)
+        t = level_shares(df, self.col, self.q).cache()
         n_levels = t.count()
         if n_levels > self.max_levels:
             raise ValueError(f"{self.col}: {n_levels} levels; route it to target encoding")
         rows = t.where(F.col("kept") & ~F.col("baseline") & F.col("level").isNotNull()).orderBy("rank").collect()
+        t.unpersist()
         return OneHotModel(self.col, [r["level"] for r in rows])
 
 
@@ -200,6 +202,10 @@ class PastTargetEncoder:
                  .otherwise(rest))
 
     def transform(self, df: DataFrame) -> DataFrame:
+        with held(df):
+            return self._transform(df)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
         if self.same_day == "exclude":
             return self._transform_by_day(df)
         order = [F.col(self.date).asc_nulls_last()] + [F.col(t).asc_nulls_first() for t in self.tie]

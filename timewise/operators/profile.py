@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
                                TimestampType)
 
-from timewise.functions.numeric import finite, sample_excess_kurtosis, sample_skew
+from timewise.functions.numeric import finite, finite_frame, sample_excess_kurtosis, sample_skew
 from timewise.operators.stats import quantiles
 
 
@@ -72,10 +72,10 @@ def moments(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """n, mean, bias-corrected skewness and excess kurtosis per column."""
     aggs = []
     for i, c in enumerate(cols):
-        x = finite(c)
+        x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.skewness(x).alias(f"g{i}"),
                  F.kurtosis(x).alias(f"k{i}")]
-    row = df.agg(*aggs)
+    row = finite_frame(df, cols).agg(*aggs)
     structs = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").cast("long").alias("n"),
                         F.col(f"m{i}").alias("mean"),
                         sample_skew(F.col(f"g{i}"), F.col(f"n{i}")).alias("skew"),
@@ -130,10 +130,10 @@ def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair (diagonal 1.0 where defined), one
     aggregation of p(p-1)/2 correlations.  For wide inputs use
     ``pyspark.ml.stat.Correlation`` on an assembled vector instead."""
-    aggs = [F.corr(finite(a), finite(b)).alias(f"r{i}_{j}")
+    aggs = [F.corr(a, b).alias(f"r{i}_{j}")
             for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    aggs += [F.stddev_samp(finite(c)).alias(f"s{i}") for i, c in enumerate(cols)]
-    row = df.agg(*aggs)
+    aggs += [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)]
+    row = finite_frame(df, cols).agg(*aggs)
     structs = []
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
@@ -174,13 +174,15 @@ def profile(df: DataFrame, method: str = "exact") -> DataFrame:
     """Per column: kind, count, missing, distinct, zeros, and for numbers
     min, max, mean, sd, quartiles.  Distinct counts by one unpivot and two
     group-bys (no many-column count_distinct)."""
+    num = [f.name for f in df.schema.fields if kind_of(f.dataType) == "numeric"]
+    df = df.select(*[finite(f"`{f.name}`").alias(f.name) if f.name in num else F.col(f"`{f.name}`")
+                     for f in df.schema.fields])
     fields = df.schema.fields
-    num = [f.name for f in fields if kind_of(f.dataType) == "numeric"]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, f in enumerate(fields):
         aggs.append(F.count(_q(f.name)).alias(f"c{i}"))
         if f.name in num:
-            x = finite(f.name)
+            x = _q(f.name)
             aggs += [F.count_if(x == 0).alias(f"z{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                      F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
     row = df.agg(*aggs)

@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from timewise.functions.numeric import finite
+from timewise.functions.numeric import finite, finite_frame
 from timewise.operators.stats import median_map
+from timewise.plans.cache import held
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
@@ -88,7 +89,8 @@ class NumericSanitizer:
         if self.stats_on == "valid":
             src = SanitizerModel({c: ColCfg(self.cfg[c].min_val, self.cfg[c].max_val, "none") for c in cols},
                                  {c: {} for c in cols}).transform(df)
-        return SanitizerModel({c: self.cfg[c] for c in cols}, moments_and_medians(src, cols, self.median_method))
+        with held(df):
+            return SanitizerModel({c: self.cfg[c] for c in cols}, moments_and_medians(src, cols, self.median_method))
 
 
 def moments_and_medians(df: DataFrame, cols: Sequence[str], median_method: str = "exact") -> dict:
@@ -96,9 +98,8 @@ def moments_and_medians(df: DataFrame, cols: Sequence[str], median_method: str =
         return {}
     aggs = []
     for c in cols:
-        x = finite(c)
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std")]
-    row = df.agg(*aggs).first()
+        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std")]
+    row = finite_frame(df, cols).agg(*aggs).first()
     med = median_map(df, cols, median_method)
     return {c: {"median": med[c], "mean": row[f"{c}__mean"], "std": row[f"{c}__std"]} for c in cols}
 
@@ -122,7 +123,8 @@ class FinalImputer:
 
     def fit(self, df: DataFrame) -> ImputerModel:
         cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)
-        return ImputerModel(median_map(df, cols, self.median_method))
+        with held(df.select(*cols)) as x:
+            return ImputerModel(median_map(x, cols, self.median_method))
 
 
 @dataclass
@@ -182,8 +184,8 @@ class ZScore:
         sd = F.stddev_samp if self.ddof == 1 else F.stddev_pop
         aggs = []
         for c in cols:
-            aggs += [F.avg(finite(c)).alias(f"{c}__m"), sd(finite(c)).alias(f"{c}__s")]
-        row = df.agg(*aggs).first() if cols else {}
+            aggs += [F.avg(c).alias(f"{c}__m"), sd(c).alias(f"{c}__s")]
+        row = finite_frame(df, cols).agg(*aggs).first() if cols else {}
         stats = {}
         for c in cols:
             s = row[f"{c}__s"]

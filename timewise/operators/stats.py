@@ -65,7 +65,7 @@ def median_map(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dic
     """Median of each column's finite values, collected (one number per column)."""
     if not cols:
         return {}
-    rows = quantiles(df, cols, [0.5], method=method).collect()
+    rows = quantiles(df, cols, [0.5], method=method).collect()  # one row per column
     got = {r["column"]: r["p50"] for r in rows}
     return {c: got.get(c) for c in cols}
 

@@ -21,6 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from timewise.plans.cache import held
+
 BLOCK = "_tw_blk"
 
 
@@ -55,13 +57,17 @@ def running_totals(
     n_blocks = n_blocks or default_blocks(spark)
     part_cols = [F.col(c).asc_nulls_first() for c in partition_by]
     tmp = {m: f"_tw_m_{m}" for m in measures}
-    ranged = (
-        df.select("*", *[e.alias(tmp[m]) for m, e in measures.items()])
-        .repartitionByRange(n_blocks, *part_cols, *order_by)
-        .withColumn(BLOCK, F.spark_partition_id())
-    )
+    src = df.select("*", *[e.alias(tmp[m]) for m, e in measures.items()])
     if checkpoint:
-        ranged = ranged.checkpoint(eager=True)
+        # the range sampler and the shuffle both read the held source, so the
+        # upstream plan runs once; the checkpoint then fixes the blocks
+        with held(src):
+            ranged = (src.repartitionByRange(n_blocks, *part_cols, *order_by)
+                      .withColumn(BLOCK, F.spark_partition_id()))
+            ranged = ranged.checkpoint(eager=True)
+    else:
+        ranged = (src.repartitionByRange(n_blocks, *part_cols, *order_by)
+                  .withColumn(BLOCK, F.spark_partition_id()))
 
     frame_end = Window.currentRow if inclusive else -1
     w_local = (

@@ -22,6 +22,9 @@ _LOCAL_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.driver.memory": "16g",
+    # fall back from whole-stage codegen when a generated method is too large
+    # for the JVM's JIT (8000 bytes); wide text-cleaning projections hit it
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
