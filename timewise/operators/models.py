@@ -130,39 +130,80 @@ def fit_model(estimator, df: DataFrame, features: Sequence[str]) -> PipelineMode
     return Pipeline(stages=[assembler(features), estimator]).fit(df)
 
 
+def _score_all(fitted: Mapping[str, object], df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Predictions of several fitted models side by side (``p_<name>``), one pass."""
+    out = assembler(features).transform(df)
+    for name, pm in fitted.items():
+        last = pm.stages[-1] if hasattr(pm, "stages") else pm
+        out = last.transform(out).withColumnRenamed(PRED, f"p_{name}")
+    return out.drop(FEATURES)
+
+
 def evaluate(models: Mapping[str, object], fold_table: DataFrame, features: Sequence[str], label: str,
-             threads: int = 4, inverse=None) -> DataFrame:
-    """Fit every model on every fold's train rows, score its test rows and
-    return per (model, fold) metrics, on the model scale and - if ``inverse``
-    maps a column to the original scale - with ``_orig`` metrics too.
+             threads: int = 4, inverse=None, ensembles: bool = True, stack_alpha: float = 1.0,
+             stack_folds: int = 2) -> DataFrame:
+    """Fit every base model once per time fold, score the fold's test rows and
+    return per (model, fold) metrics; ``inverse`` (a column function back to
+    the original scale) adds ``_orig`` metrics.
+
+    With ``ensembles`` the voting mean and the stacked ridge are evaluated
+    from the same fitted bases: voting averages their test predictions;
+    stacking fits the bases on ``stack_folds`` contiguous blocks of the fold's
+    training rows for out-of-fold predictions, fits a ridge on those, and
+    applies it to the bases' test predictions (the bases refitted on all
+    training rows are the ones already fitted).  ``fold_table`` is the long
+    (row, fold, role) table of ``folds.time_folds`` and carries ``row_idx``."""
+    from timewise.operators.folds import block_fold
 
-    ``fold_table`` is the long (row, fold, role) table of ``folds.time_folds``."""
     fold_ids = [r["fold"] for r in fold_table.select("fold").distinct().orderBy("fold").collect()]
+    names = list(models)
+    pool = ThreadPoolExecutor(max(1, threads))
+
+    def fit_all(tr):
+        return dict(zip(names, pool.map(lambda n: fit_model(models[n], tr, features), names)))
 
-    def run(item):
-        name, fold = item
+    def run(fold):
         tr = fold_table.where((F.col("fold") == fold) & (F.col("role") == "train"))
         te = fold_table.where((F.col("fold") == fold) & (F.col("role") == "test"))
-        est = models[name]
-        pm = fit_model(est, tr, features) if not callable(est) else est(tr)
-        pred = pm.transform(te).select(label, PRED)
-        if inverse is not None:
-            pred = pred.withColumns({"_y_orig": inverse(F.col(label)), "_p_orig": inverse(F.col(PRED))})
-        m = metrics(pred, label, PRED, method="approx").withColumns(
-            {"model": F.lit(name), "fold": F.lit(fold).cast("long")})
-        if inverse is not None:
-            mo = metrics(pred, "_y_orig", "_p_orig", method="approx")
-            mo = mo.select(*[F.col(c).alias(f"{c}_orig") for c in mo.columns])
-            mo_row = mo.first()  # one row
-            m = m.withColumns({c: F.lit(mo_row[c]) for c in mo.columns})
-        return m.toPandas()
-
-    items = [(n, f) for n in models for f in fold_ids]
-    with ThreadPoolExecutor(max(1, threads)) as ex:
-        frames = list(ex.map(run, items))
+        fitted = fit_all(tr)
+        pred = _score_all(fitted, te, features)
+        cols = {n: F.col(f"p_{n}") for n in names}
+        if ensembles and len(names) > 1:
+            cols["Voting"] = sum((F.col(f"p_{n}") for n in names), F.lit(0.0)) / F.lit(float(len(names)))
+            n_tr = tr.count()
+            trb = tr.withColumn("_blk", block_fold(F.col("row_idx"), F.lit(n_tr), stack_folds))
+            oof = None
+            for k in range(stack_folds):
+                part = _score_all(fit_all(trb.where(F.col("_blk") != k)), trb.where(F.col("_blk") == k), features)
+                oof = part if oof is None else oof.unionByName(part)
+            pcols = [f"p_{n}" for n in names]
+            meta_in = VectorAssembler(inputCols=pcols, outputCol=FEATURES).transform(oof)
+            st = meta_in.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
+            meta = ridge(label, stack_alpha, st["n"], st["sd"]).fit(meta_in)
+            pred = meta.transform(VectorAssembler(inputCols=pcols, outputCol=FEATURES).transform(pred)) \
+                .withColumnRenamed(PRED, "p_Stacking").drop(FEATURES)
+            cols["Stacking"] = F.col("p_Stacking")
+        pred = pred.select(label, *[c.alias(n) for n, c in cols.items()]).persist()
+        frames = []
+        for n in cols:
+            one = pred.select(F.col(label).alias("_y"), F.col(n).alias("_p"))
+            m = metrics(one, "_y", "_p", method="approx")
+            if inverse is not None:
+                orig = one.select(inverse(F.col("_y")).alias("_y"), inverse(F.col("_p")).alias("_p"))
+                mo = metrics(orig, "_y", "_p", method="approx").first()
+                m = m.withColumns({f"{c}_orig": F.lit(mo[c]) for c in mo.asDict()})
+            frames.append(m.withColumns({"model": F.lit(n), "fold": F.lit(fold).cast("long")}).toPandas())
+        pred.unpersist()
+        return frames
+
     import pandas as pd
-    spark = fold_table.sparkSession
-    return spark.createDataFrame(pd.concat(frames, ignore_index=True))
+    folds_pool = ThreadPoolExecutor(max(1, len(fold_ids)))
+    try:
+        frames = [f for fs in folds_pool.map(run, fold_ids) for f in fs]
+    finally:
+        folds_pool.shutdown()
+        pool.shutdown()
+    return fold_table.sparkSession.createDataFrame(pd.concat(frames, ignore_index=True))
 
 
 def rank_models(per_fold: DataFrame) -> DataFrame:
