@@ -125,3 +125,17 @@ def stateless_steps(df: DataFrame, drop_key: str = "vehicleID") -> DataFrame:
     out = composite(out)
     out = drop_if_present(out, [drop_key])
     return clean_text_columns(out)
+
+
+def xy_split(df: DataFrame, target: str = "targetPrice", date: str = "saleDate") -> tuple[DataFrame, DataFrame]:
+    """Feature columns (all but target and date) and the target column."""
+    feats = [c for c in df.columns if c not in (target, date)]
+    return df.select(*feats), df.select(target)
+
+
+def default_column(df: DataFrame, name: str = "saleDate", value=None) -> DataFrame:
+    """Add ``name`` when absent: the given value, or today's date (scoring requests
+    without a sale date are scored as of now)."""
+    if name in df.columns:
+        return df
+    return df.withColumn(name, F.current_date() if value is None else F.lit(value))

@@ -245,7 +245,7 @@ def search(make_estimator, space: Mapping[str, tuple], fold_table: DataFrame, fe
     rng = random.Random(seed)
     params = [sample_params(space, rng) for _ in range(trials)]
     models = {f"trial_{i}": make_estimator(**p) for i, p in enumerate(params)}
-    per_fold = evaluate(models, fold_table, features, label, threads=threads)
+    per_fold = evaluate(models, fold_table, features, label, threads=threads, ensembles=False)
     ranked = per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse"))
     spark = fold_table.sparkSession
     ptab = spark.createDataFrame([(f"trial_{i}", str(p)) for i, p in enumerate(params)], "model string, params string")

@@ -113,3 +113,16 @@ def q_windows_stream(spark, sf):
     q = score_metrics_stream(stream, "ts", "value", sink, ck, watermark="0 seconds")
     q.awaitTermination()
     return spark.read.parquet(sink)
+
+
+@query("param_search")
+def q_search(spark, sf):
+    """Seeded random search over boosted-tree settings on expanding time folds."""
+    from timewise.operators import folds as FO
+    from timewise.operators import models as MO
+    from timewise.plans.q_select import FEATS, Y
+    s = clean_sales(spark, sf).select(*TIE_KEY, "saleDate", *FEATS, Y).dropna()
+    table = FO.time_folds(FO.time_index(s, "saleDate", TIE_KEY), 3)
+    space = {"maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3)}
+    make = lambda **p: MO.gbt_leafwise(Y, rounds=5, **p)
+    return MO.search(make, space, table, FEATS, Y, trials=3, seed=42)
