@@ -85,25 +85,25 @@ def level_shares(df: DataFrame, col: str, q: float) -> DataFrame:
     """Levels with counts, share, running count in (count desc, level asc,
     null last) order, and the keep / baseline decisions of the one-hot.
 
-    Runs on the counted level table (one row per level), not on rows."""
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).cast("long").alias("n"))
-    order = [F.col("n").desc(), F.col(col).asc_nulls_last()]
-    w_run = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    w_all = Window.partitionBy()
-    t = counts.select(
-        F.col(col).alias("level"), "n",
-        F.sum("n").over(w_all).alias("total"),
-        F.sum("n").over(w_run).alias("cum_n"),
-        F.row_number().over(Window.orderBy(*order)).alias("rank"),
-        F.row_number().over(Window.orderBy(F.col(col).isNull(), *order)).alias("nonnull_rank"),
-    )
+    Runs on the counted level table (one row per level).  The running count
+    and the rank use the partitioned prefix helper, so even a column with
+    millions of levels is never ranked in a single task."""
+    counts = df.groupBy(F.col(col).alias("level")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+    order = [F.col("n").desc(), F.col("level").asc_nulls_last()]
+    t = running_totals(counts, order, {"cum_n": F.col("n"), "rank": F.lit(1).cast("long")}, inclusive=True,
+                       totals=True)
+    t = t.withColumnRenamed("cum_n__total", "total").drop("rank__total")
     within = F.col("cum_n").cast("double") <= F.lit(float(q)) * F.col("total").cast("double")
+    # two numbers for the whole table: any level within q, rank of the top non-null level
+    agg = t.agg(F.coalesce(F.max(within), F.lit(False)).alias("any_within"),
+                F.min(F.when(F.col("level").isNotNull(), F.col("rank"))).alias("base_rank")).first()
+    base_rank = agg["base_rank"] if agg["base_rank"] is not None else -1
     return t.select(
         "level", "n",
         F.round(F.col("n") / F.col("total"), 6).alias("share"),
-        "cum_n", F.col("rank").cast("long").alias("rank"),
-        (within | ((F.col("rank") == 1) & ~F.max(within).over(w_all))).alias("kept"),
-        ((F.col("nonnull_rank") == 1) & F.col("level").isNotNull()).alias("baseline"),
+        "cum_n", "rank",
+        (within | ((F.col("rank") == 1) & F.lit(not agg["any_within"]))).alias("kept"),
+        (F.col("rank") == F.lit(base_rank)).alias("baseline"),
     )
 
 
