@@ -153,3 +153,11 @@ def q_compare(spark, sf):
     fr = [r["feature"] for r in SE.forest_scores(s, FEATS, Y, trees=10, maxDepth=5)
           .orderBy(F.col("score").desc(), "position").limit(5).collect()]
     return SE.compare_selectors({"f_score": kb, "forest": fr})
+
+
+@query("remove_multicollinearity")
+def q_remove_mc(spark, sf):
+    """Correlation prune then VIF prune (Gram matrix once, sub-matrices per round), with its removal log."""
+    kept, log = SE.remove_multicollinearity(clean_sales(spark, sf), FEATS, 0.8, 10.0)
+    rows = [("kept", i, c) for i, c in enumerate(kept)] + [("removed", i, m) for i, m in enumerate(log)]
+    return spark.createDataFrame(rows, "kind string, position long, entry string")
