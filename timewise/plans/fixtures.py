@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from timewise.session import read
+from timewise.session import default_parallelism, read
 
 TIE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
@@ -24,9 +24,14 @@ MECHANICAL_MAP = {"F": 1, "O": 2}
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Hash-partition the lines on the order key up front: with a large orders
+    # table this is the sort-merge join's own exchange (orders is shuffled to
+    # match, lines are not shuffled twice); with a small one it spreads a scan
+    # that has few row groups over every core before the wide projections.
     l = read(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus", "l_shipdate")
+    l = l.repartition(default_parallelism(spark), "l_orderkey")
     o = read(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
     p = read(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")

@@ -58,6 +58,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Partition count for explicit repartitions: the session's shuffle
+    partitions (sized by the cluster), never below the cores available."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(n, spark.sparkContext.defaultParallelism)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
