@@ -103,3 +103,23 @@ def q_stateless_steps(spark, sf):
                  F.count_distinct("make_model").alias("n_make_model"),
                  F.count_if(F.col("doorNumber").isNull()).cast("long").alias("n_door_null"),
                  r6(F.sum("vehicle_age_years")).alias("sum_age"))
+
+
+# C13: the feature frame keeps every column but the target and the sale date.
+@query("xy_split", with_sales("SELECT * EXCLUDE (targetPrice, saleDate) FROM sales"))
+def q_xy_split(spark, sf):
+    x, _ = clean.xy_split(sales(spark, sf), target="targetPrice", date="saleDate")
+    return normalize(x)
+
+
+# C14: a scoring request without a sale date is scored as of today.
+@query("default_column", with_sales(f"""
+SELECT {KEY4_SQL}, current_date AS saleDate,
+       CAST(date_diff('day', registrationDate, current_date) AS BIGINT) AS age_days
+FROM sales"""))
+def q_default_column(spark, sf):
+    req = sales(spark, sf).select(*KEY4, "registrationDate")
+    req = clean.default_column(req, "saleDate")
+    req = clean.default_column(req, "registrationDate", "1900-01-01")  # present: left as is
+    return normalize(req.select(*KEY4, "saleDate",
+                                F.datediff("saleDate", "registrationDate").cast("long").alias("age_days")))

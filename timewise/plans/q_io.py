@@ -8,7 +8,9 @@ from timewise.operators.metrics import metrics
 from timewise.plans.common import KEY4, normalize
 from timewise.plans.fixtures import AESTHETIC_MAP, MECHANICAL_MAP, TIE_KEY, clean_sales, sales
 from timewise.plans.q_metrics import PRED_CTE, metrics_sql, predictions
-from timewise.plans.registry import query
+from timewise.plans import q_explain, q_metrics  # noqa: F401  (registers the queries reused below)
+from timewise.plans.fixtures import with_sales
+from timewise.plans.registry import ORACLES, QUERIES, query
 from timewise.session import read
 from timewise.sources import io
 
@@ -26,6 +28,45 @@ def q_read_roundtrip(spark, sf):
     return io.read_table(spark, path, ORDERS_SCHEMA, fmt="csv")
 
 
+
+# A2: the cleaned table written as parquet partitioned by sale year, read back
+# (partition values come back from the folder names).
+@query("write_partitioned", with_sales("""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, saleDate, targetPrice,
+       CAST(year(saleDate) AS INTEGER) AS sale_year
+FROM sales"""))
+def q_write_partitioned(spark, sf):
+    s = sales(spark, sf).select(*KEY4, "saleDate", "targetPrice", F.year("saleDate").alias("sale_year"))
+    path = io.scratch_path(spark, "partitioned")
+    io.write_table(s, path, fmt="parquet", partition_by=["sale_year"])
+    return io.read_table(spark, path, fmt="parquet").select(*KEY4, "saleDate", "targetPrice", "sale_year")
+
+
+IMPORTANCE_SCHEMA = "feature string, importance double, rank bigint, importance_pct double"
+
+
+# A3: the ranked importance table as CSV with header, read back with its schema.
+@query("importance_csv", ORACLES["importance_ranking"])
+def q_importance_csv(spark, sf):
+    ranked = QUERIES["importance_ranking"](spark, sf)
+    path = io.scratch_path(spark, "importance-csv")
+    io.write_table(ranked, path, fmt="csv")
+    return io.read_table(spark, path, IMPORTANCE_SCHEMA, fmt="csv")
+
+
+METRICS_REPORT_SCHEMA = ("model string, fold string, n bigint, rmse double, mae double, r2 double, mape double, "
+                         "smape double, wmape double, mdae double, max_error double, q25_error double, "
+                         "q75_error double, q90_error double, explained_variance double")
+
+
+# A4: a run report (metrics per model and fold) as JSON lines, read back.
+@query("report_json", ORACLES["metrics_by_group"])
+def q_report_json(spark, sf):
+    rep = QUERIES["metrics_by_group"](spark, sf)
+    path = io.scratch_path(spark, "report-json")
+    io.write_report(rep, path)
+    return spark.read.schema(METRICS_REPORT_SCHEMA).json(path).select(*rep.columns)
+
 RUN_KEYS = ["n", "rmse", "mae", "r2"]
 
 
