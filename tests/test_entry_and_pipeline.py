@@ -19,7 +19,8 @@ def test_every_query_has_callable_and_oracles_are_subset():
 
 
 @pytest.mark.parametrize("name", ["chronology_guard", "target_encode", "metrics_by_group", "onehot_levels",
-                                  "profile", "time_folds"])
+                                  "profile", "time_folds", "write_partitioned",
+                                  "importance_csv", "report_json", "xy_split", "default_column"])
 def test_selected_queries_match_duckdb(spark, sf, name):
     import duckdb
     sys_path = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
