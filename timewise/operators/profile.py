@@ -127,23 +127,27 @@ def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, method: str
 
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson r for every ordered pair (diagonal 1.0 where defined), one
-    aggregation of p(p-1)/2 correlations.  For wide inputs use
-    ``pyspark.ml.stat.Correlation`` on an assembled vector instead."""
-    aggs = [F.corr(a, b).alias(f"r{i}_{j}")
-            for i, a in enumerate(cols) for j, b in enumerate(cols) if i < j]
-    aggs += [F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    row = finite_frame(df, cols).agg(*aggs)
-    structs = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            if i == j:
-                r = F.when(F.col(f"s{i}") > 0, F.lit(1.0))
-            else:
-                r = F.col(f"r{min(i, j)}_{max(i, j)}")
-            structs.append(F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                                    finite(r).alias("r")))
-    return _explode_structs(row, structs)
+    """Pearson r for every ordered pair (diagonal 1.0 where the sample
+    standard deviation is positive), over the rows where both are finite.
+
+    Each row is turned into one (col_a, col_b, x, y) row per unordered pair
+    and one ``corr`` runs grouped by the pair: a narrow generate feeding a
+    map-side partial aggregation, so the stage keeps whole-stage codegen
+    (a single aggregate with p(p-1)/2 ``corr`` buffers outgrows it) and the
+    shuffle carries one small buffer per pair and partition.  For very wide
+    inputs use ``pyspark.ml.stat.Correlation`` on an assembled vector."""
+    x = finite_frame(df, cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
+    gen = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
+                             F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
+    per_pair = x.select(F.inline(gen)).groupBy("col_a", "col_b").agg(
+        F.corr("x", "y").alias("r"), F.stddev_samp("x").alias("sd"))
+    r = finite(F.when(F.col("col_a") == F.col("col_b"), F.when(F.col("sd") > 0, F.lit(1.0)))
+               .otherwise(F.col("r")))
+    ab = F.struct(F.col("col_a"), F.col("col_b"), r.alias("r"))
+    ba = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), r.alias("r"))
+    both = F.when(F.col("col_a") == F.col("col_b"), F.array(ab)).otherwise(F.array(ab, ba))
+    return per_pair.select(F.inline(both))
 
 
 def top_values(df: DataFrame, cols: Sequence[str], k: int = 10, null_label: str = "Unknown") -> DataFrame:
@@ -233,11 +237,16 @@ def alerts(profile_df: DataFrame, corr_df: DataFrame, balance_df: DataFrame, cor
         F.col("r").alias("value"))
     imb = balance_df.where(F.col("imbalance") > imbalance_threshold).select(
         "column", F.lit("imbalance").alias("alert"), F.col("imbalance").alias("value"))
-    card = profile_df.where((F.col("kind") == "string") & (F.col("distinct") > high_cardinality)).select(
-        "column", F.lit("high_cardinality").alias("alert"), F.col("distinct").cast("double").alias("value"))
-    uniq = profile_df.where((F.col("distinct") == F.col("count")) & (F.col("missing") == 0)).select(
-        "column", F.lit("unique").alias("alert"), F.col("distinct").cast("double").alias("value"))
-    return hc.unionByName(imb).unionByName(card).unionByName(uniq)
+    # both profile alerts from one read of the profile table
+    dist = F.col("distinct").cast("double")
+    per_col = F.array(
+        F.struct(((F.col("kind") == "string") & (F.col("distinct") > high_cardinality)).alias("on"),
+                 F.lit("high_cardinality").alias("alert"), dist.alias("value")),
+        F.struct(((F.col("distinct") == F.col("count")) & (F.col("missing") == 0)).alias("on"),
+                 F.lit("unique").alias("alert"), dist.alias("value")))
+    prof = (profile_df.select("column", F.inline(per_col))
+            .where(F.col("on")).select("column", "alert", "value"))
+    return hc.unionByName(imb).unionByName(prof)
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 0, key: Sequence[str] | None = None) -> DataFrame:
