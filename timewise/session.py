@@ -25,6 +25,9 @@ _LOCAL_DEFAULTS = {
     # fall back from whole-stage codegen when a generated method is too large
     # for the JVM's JIT (8000 bytes); wide text-cleaning projections hit it
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # ordered running totals checkpoint full rows; compress what goes to the
+    # (shared) checkpoint folder
+    "spark.checkpoint.compress": "true",
 }
 
 
