@@ -30,10 +30,3 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from timewise.plans import q_clean, q_encode, q_folds, q_metrics, q_explain, q_io, q_profile, q_sanitize, q_score, q_select, q_shape  # noqa: F401
-    for mod in ("q_profile", "q_shape", "q_select", "q_folds", "q_metrics", "q_models", "q_explain",
-                "q_score", "q_io"):
-        try:
-            __import__(f"timewise.plans.{mod}")
-        except ModuleNotFoundError as e:
-            if e.name != f"timewise.plans.{mod}":
-                raise
