@@ -22,6 +22,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A narrow table (ids, hashes) cut from its lineage and counted; marked
+    for broadcast only where it has at most ``limit`` rows, else left to an
+    ordinary shuffled join."""
+    from pyspark.sql import functions as F
+    df = checkpointed(df)
+    return F.broadcast(df) if df.count() <= limit else df
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,8 +9,8 @@ from .common import checkpointed
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, component) for every node of an edge; component is the least
-    node reachable.  Node ids are longs; null ends and loops are ignored
-    (a node with only loops is absent).
+    node reachable.  Nodes are of any ordered type; null ends and loops are
+    ignored (a node with only loops is absent).
 
     Each round hangs larger neighbours on the least neighbour (large star),
     then lower neighbours on the least (small star).  Rounds are logarithmic
@@ -19,7 +19,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     lineage is cut by a checkpoint, so neither links nor labels ever reach
     the driver (it sees one count and one checksum a round).
     """
-    e = (edges.select(F.col(a).cast("long").alias("u"), F.col(b).cast("long").alias("v"))
+    e = (edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
          .where("u is not null and v is not null and u <> v")
          .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     e = checkpointed(e)

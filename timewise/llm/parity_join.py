@@ -10,7 +10,7 @@ shingle hashes names the chunk's odd bits in 64 bits.  A shingle in the
 symmetric difference changes one bit, so the Hamming distance of two
 sketches, and also the number of differing chunks, is at most |A ^ B|.
 
-Pigeonhole.  G is fixed per size band (ratio 4), so linked sets differ in at
+Pigeonhole.  G is fixed per size band (ratio 2), so linked sets differ in at
 most D chunks.  Chunks holding at least ``weight`` shingles (2; 1 in small
 bands) are strong.  If either set has more than D strong chunks, one strong
 chunk is equal in both, and an equi-join on (band, salt, chunk, parity) finds
@@ -44,11 +44,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, checkpointed, n_partitions
+from .common import as_text, checkpointed, n_partitions, small
 from .components import components
 from .textblock import blocks, mix, shingle_sets
 
-BAND = 4          # size ratio of a band
+BAND = 2          # size ratio of a band
 SALTS = 8
 SMALL = 64        # bands below this size use single-shingle chunks
 
@@ -58,6 +58,7 @@ def max_difference(a, b, t: int):
 
 
 def band_of(n: int) -> int:
+    """The band of sizes BAND**b .. BAND**(b+1) - 1 that holds n."""
     b = 0
     while BAND ** (b + 1) <= n:
         b += 1
@@ -112,17 +113,20 @@ def set_id(s: np.ndarray) -> bytes:
 
 
 def _describe(batches):
-    """doc_id, n_shingles, sid (128-bit set name), cls (its first 63 bits)."""
+    """doc_id, n_shingles, sid (128-bit set name), cls (its first 63 bits),
+    dense sketch."""
     for batch in batches:
-        n, sid, cls = [], [], []
+        n, sid, cls, sketch = [], [], [], []
         for _, data, offs in blocks(batch.column("text")):
             for s in shingle_sets(data, offs):
                 d = set_id(s) if len(s) else None
                 n.append(len(s))
                 sid.append(d)
                 cls.append(int.from_bytes(d[:8], "little") >> 1 if d else None)
+                sketch.append(dense_sketch(s) if d else None)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sid, pa.binary()),
-                                          pa.array(cls, pa.int64())], ["doc_id", "n_shingles", "sid", "cls"])
+                                          pa.array(cls, pa.int64()), pa.array(sketch, pa.binary())],
+                                         ["doc_id", "n_shingles", "sid", "cls", "sketch"])
 
 
 def _emit(parts: int, t: int):
@@ -151,8 +155,8 @@ def _emit(parts: int, t: int):
 
 
 def _buckets(table: pa.Table) -> pa.Table:
-    """Of one hash part: (key, member, leader) for every bucket with two or
-    more classes; the leader's own row has member = leader."""
+    """Of one hash part: (key, member, leader, size) of every bucket with two
+    or more classes, a row for each member but the leader."""
     k = np.concatenate([np.frombuffer(x.as_py(), np.uint64) for x in table.column("keys")] or [np.empty(0, np.uint64)])
     c = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in table.column("cls")] or [np.empty(0, np.int64)])
     order = np.argsort(k, kind="stable")
@@ -171,8 +175,8 @@ def _buckets(table: pa.Table) -> pa.Table:
         first = np.flatnonzero(start)
         size = np.diff(np.concatenate([first, [len(k)]]))
         lead, size = np.repeat(c[first], size), np.repeat(size, size)
-        k, c, lead = k[size > 1], c[size > 1], lead[size > 1]
-        size = size[size > 1]
+        keep = c != lead
+        k, c, lead, size = k[keep], c[keep], lead[keep], size[keep]
     else:
         lead = size = c
     return pa.table({"key": pa.array(k.view(np.int64), pa.int64()), "member": pa.array(c, pa.int64()),
@@ -182,35 +186,26 @@ def _buckets(table: pa.Table) -> pa.Table:
 def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
     """The pairs (a, b) of class names whose sets really link, as pairs of
     representative documents (x, y)."""
-    ca = classes.select(F.col("cls").alias("a"), F.col("rep").alias("x"), F.col("n_shingles").alias("na"))
-    cb = classes.select(F.col("cls").alias("b"), F.col("rep").alias("y"), F.col("n_shingles").alias("nb"))
-    p = (pairs.join(ca, "a").join(cb, "b")
-         .where(f"x <> y and 100 * least(na, nb) >= {t} * greatest(na, nb)")
-         .select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    p = checkpointed(p)
-    need = p.select(F.col("x").alias("doc_id")).union(p.select("y")).distinct()
-
-    def sets(batches):
-        for batch in batches:
-            out, sk = [], []
-            for _, data, offs in blocks(batch.column("text")):
-                for s in shingle_sets(data, offs):
-                    out.append(s.tobytes())
-                    sk.append(dense_sketch(s))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sk, pa.binary()), pa.array(out, pa.binary())],
-                                             ["doc_id", "sketch", "shingles"])
-
-    s = checkpointed(texts.join(need, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, sketch binary, shingles binary"))
-
     def near(batches):
         for batch in batches:
             keep = []
-            for u, v, nu, nv in zip(batch.column("su"), batch.column("sv"), batch.column("nu").to_pylist(),
-                                    batch.column("nv").to_pylist()):
+            for u, v, nu, nv in zip(batch.column("sx"), batch.column("sy"), batch.column("nx").to_pylist(), batch.column("ny").to_pylist()):
                 d = np.bitwise_count(np.frombuffer(u.as_py(), np.uint64) ^ np.frombuffer(v.as_py(), np.uint64)).sum()
                 keep.append(int(d) <= max_difference(nu, nv, t))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
+    cx = classes.select(F.col("cls").alias("a"), F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx"))
+    cy = classes.select(F.col("cls").alias("b"), F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy"))
+    p = (pairs.join(cx, "a").join(cy, "b").where(f"x <> y and 100 * least(nx, ny) >= {t} * greatest(nx, ny)")
+         .mapInArrow(near, "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    p = checkpointed(p)
+    need = small(p.select(F.col("x").alias("doc_id")).union(p.select("y")).distinct())
+
+    def sets(batches):
+        for batch in batches:
+            out = [s.tobytes() for _, data, offs in blocks(batch.column("text")) for s in shingle_sets(data, offs)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], ["doc_id", "shingles"])
+
     def links(batches):
         for batch in batches:
             keep = []
@@ -220,11 +215,8 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, t: int) ->
                 keep.append(100 * both >= t * (len(u) + len(v) - both))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    size = (F.octet_length("shingles") / 8).cast("long")
-    sx = s.select(F.col("doc_id").alias("x"), F.col("sketch").alias("su"), size.alias("nu"))
-    sy = s.select(F.col("doc_id").alias("y"), F.col("sketch").alias("sv"), size.alias("nv"))
-    kept = p.join(sx, "x").join(sy, "y").mapInArrow(near, "x long, y long")
-    return (kept.join(s.select(F.col("doc_id").alias("x"), F.col("shingles").alias("u")), "x")
+    s = checkpointed(texts.join(need, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"))
+    return (p.join(s.select(F.col("doc_id").alias("x"), F.col("shingles").alias("u")), "x")
             .join(s.select(F.col("doc_id").alias("y"), F.col("shingles").alias("v")), "y")
             .mapInArrow(links, "x long, y long"))
 
@@ -234,19 +226,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text.  ``threshold`` is the Jaccard similarity in percent."""
     spark = docs.sparkSession
     texts = as_text(docs, id_col, text_col)
-    described = checkpointed(texts.mapInArrow(_describe, "doc_id long, n_shingles long, sid binary, cls long"))
+    described = checkpointed(texts.mapInArrow(_describe, "doc_id long, n_shingles long, sid binary, cls long, sketch binary"))
     classes = checkpointed(described.where("sid is not null").groupBy("sid", "cls")
-                           .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles")))
+                           .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     parts = 2 * n_partitions(spark)
     buckets = checkpointed(texts.mapInArrow(_emit(parts, threshold), "part int, keys binary, cls binary")
                            .groupBy("part").applyInArrow(_buckets, "key long, member long, leader long, size long"))
-    star = buckets.where("member <> leader").select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
+    star = buckets.select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
     links = checkpointed(_verified(texts, classes, star, threshold))
     comp = checkpointed(components(links, "x", "y"))
 
     # what the stars left open: pairs of members of different components
     # inside one bucket, except those with the leader
-    member = (buckets.where("size > 2 and member <> leader").select("key", "member")
+    member = (buckets.where("size > 2").select("key", "member")
               .join(classes.select(F.col("cls").alias("member"), F.col("rep")), "member")
               .join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
               .select("key", "member", F.coalesce("component", "rep").alias("component")))
