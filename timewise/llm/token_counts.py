@@ -62,7 +62,7 @@ def line_sections(data: np.ndarray) -> np.ndarray:
 
 def allocate(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """The section of each token, and whether it crosses a boundary."""
-    start = np.concatenate([[0], token_ends[:-1]]).astype(np.int64)
+    start = np.concatenate([[0], token_ends])[:-1].astype(np.int64)
     a = np.searchsorted(section_ends, start, "right")
     b = np.searchsorted(section_ends, token_ends - 1, "right")
     to = {"first": a, "last": b}.get(rule)
