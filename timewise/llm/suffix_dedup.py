@@ -273,7 +273,7 @@ class Suffixes:
 
 def resolve_spans(length: int):
     """Covered spans of the anchors of one hash part."""
-    k = gram_size(length)
+    radix = length + 1
 
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -325,13 +325,13 @@ def resolve_spans(length: int):
         can_lo[~ok], can_hi[~ok] = a_lo[~ok], a_hi[~ok]
         big = (size[group] > 2) | ~ok
         reach_lo, reach_hi = can_lo.copy(), can_hi.copy()
-        by_lo = np.sort(np.where((resolved[:, :, 0] <= resolved[:, :, 1]) & ok[:, None], resolved[:, :, 0] * 4096 + resolved[:, :, 1], -1), axis=1)
+        by_lo = np.sort(np.where((resolved[:, :, 0] <= resolved[:, :, 1]) & ok[:, None], resolved[:, :, 0] * radix + resolved[:, :, 1], -1), axis=1)
         for c in range(4):                                 # peel settled offsets off both ends
-            x, y = by_lo[:, c] // 4096, by_lo[:, c] % 4096
+            x, y = by_lo[:, c] // radix, by_lo[:, c] % radix
             m = (by_lo[:, c] >= 0) & (x <= reach_lo) & (y >= reach_lo)
             reach_lo[m] = y[m] + 1
         for c in (3, 2, 1, 0):
-            x, y = by_lo[:, c] // 4096, by_lo[:, c] % 4096
+            x, y = by_lo[:, c] // radix, by_lo[:, c] % radix
             m = (by_lo[:, c] >= 0) & (x <= reach_hi) & (y >= reach_hi)
             reach_hi[m] = x[m] - 1
         left_over = np.flatnonzero(big & (reach_lo <= reach_hi))
