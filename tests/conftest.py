@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from timewise.session import local_session
-    s = local_session("*", "timewise-tests", **{"spark.sql.shuffle.partitions": "8"})
+    s = local_session(os.environ.get("TEST_CPUS", "*"), "timewise-tests", **{"spark.sql.shuffle.partitions": "8"})
     yield s
     s.stop()
 
