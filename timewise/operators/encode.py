@@ -16,9 +16,7 @@ from pyspark.sql import functions as F
 
 from timewise.functions.text import clean_text_py
 from timewise.plans.cache import held
-from timewise.plans.prefix import running_totals
-
-BROADCAST_ROWS = 1_000_000  # state tables up to this many rows are broadcast
+from timewise.plans.prefix import BLOCK, in_blocks, running_totals
 
 
 # ---------------------------------------------------------------- ordinal / bins
@@ -128,15 +126,11 @@ class TopShareOneHot:
     frequent non-null level is the dropped baseline; null gets no column."""
     col: str
     q: float = 1.0
-    max_levels: int = 10_000
 
     def fit(self, df: DataFrame) -> OneHotModel:
-        t = level_shares(df, self.col, self.q).cache()
-        n_levels = t.count()
-        if n_levels > self.max_levels:
-            raise ValueError(f"{self.col}: {n_levels} levels; route it to target encoding")
+        t = level_shares(df, self.col, self.q)
+        # one row per output column
         rows = t.where(F.col("kept") & ~F.col("baseline") & F.col("level").isNotNull()).orderBy("rank").collect()
-        t.unpersist()
         return OneHotModel(self.col, [r["level"] for r in rows])
 
 
@@ -159,8 +153,6 @@ class TargetEncodingModel:
     def transform(self, df: DataFrame) -> DataFrame:
         name = self.name or f"{self.col}__te"
         st = self.state.select(F.col(self.col).alias("_tw_cat"), "te_sum", "te_cnt")
-        if self.n_categories <= BROADCAST_ROWS:
-            st = F.broadcast(st)
         j = df.join(st, df[self.col] == st["_tw_cat"], "left")
         enc = F.when(F.col("te_cnt").isNull(), F.lit(self.prior)).otherwise(
             (F.col("te_sum") + F.lit(self.alpha) * F.lit(self.prior)) / (F.col("te_cnt") + F.lit(self.alpha)))
@@ -202,23 +194,46 @@ class PastTargetEncoder:
                  .otherwise(rest))
 
     def transform(self, df: DataFrame) -> DataFrame:
-        with held(df):
-            return self._transform(df)
-
-    def _transform(self, df: DataFrame) -> DataFrame:
         if self.same_day == "exclude":
-            return self._transform_by_day(df)
+            with held(df):
+                return self._transform_by_day(df)
+        return self._transform_by_row(df)
+
+    def _transform_by_row(self, df: DataFrame) -> DataFrame:
+        """One range partitioning on (date, tie) serves both running totals.
+        Inside a block they are windows over (block) and (block, category);
+        what earlier blocks add is one number per block for all rows, and one
+        per (block, category) for the category."""
         order = [F.col(self.date).asc_nulls_last()] + [F.col(t).asc_nulls_first() for t in self.tie]
         y = F.col(self.target)
-        ys = _sum_type(y, self.sum_scale)
-        g = running_totals(df, order, {"_tw_s_all": F.when(y.isNotNull(), ys),
-                                       "_tw_c_all": y.isNotNull().cast("long")}, n_blocks=self.n_blocks)
-        c = running_totals(g, order, {"_tw_s_cat": F.when(y.isNotNull(), ys),
-                                      "_tw_n_cat": F.lit(1).cast("long")},
-                           partition_by=[self.col], n_blocks=self.n_blocks)
-        enc = self._encode(F.col(self.col), y, F.col("_tw_s_cat"), F.col("_tw_n_cat"),
-                           F.col("_tw_s_all"), F.col("_tw_c_all"))
-        return c.withColumn(self.out, enc).drop("_tw_s_all", "_tw_c_all", "_tw_s_cat", "_tw_n_cat")
+        src = df.withColumns({"_tw_y": F.when(y.isNotNull(), _sum_type(y, self.sum_scale)),
+                              "_tw_c": y.isNotNull().cast("long")})
+        rows = in_blocks(src, order, self.n_blocks)
+        cat = F.col(self.col)
+        before = (Window.unboundedPreceding, -1)
+        in_block = Window.partitionBy(BLOCK).orderBy(*order).rowsBetween(*before)
+        in_cat = Window.partitionBy(BLOCK, cat).orderBy(*order).rowsBetween(*before)
+        local = rows.withColumns({"_tw_s_all": F.sum("_tw_y").over(in_block), "_tw_c_all": F.sum("_tw_c").over(in_block),
+                                  "_tw_s_cat": F.sum("_tw_y").over(in_cat), "_tw_n_cat": F.count(F.lit(1)).over(in_cat)})
+        per_cat = rows.groupBy(BLOCK, self.col).agg(F.sum("_tw_y").alias("s"), F.sum("_tw_c").alias("c"), F.count(F.lit(1)).alias("n"))
+        earlier = Window.partitionBy(self.col).orderBy(BLOCK).rowsBetween(*before)
+        off_cat = per_cat.select(F.col(BLOCK).alias("_tw_b"), cat.alias("_tw_k"), F.sum("s").over(earlier).alias("_tw_os"),
+                                 F.sum("n").over(earlier).alias("_tw_on")).where("_tw_on is not null")
+        # one row per block: at most n_blocks
+        per_block = per_cat.groupBy(BLOCK).agg(F.sum("s").alias("s"), F.sum("c").alias("c"))
+        earlier = Window.orderBy(BLOCK).rowsBetween(*before)
+        off_all = F.broadcast(per_block.select(F.col(BLOCK).alias("_tw_b2"), F.sum("s").over(earlier).alias("_tw_oa"),
+                                               F.sum("c").over(earlier).alias("_tw_oc")))
+        j = (local.join(off_cat, (F.col(BLOCK) == F.col("_tw_b")) & cat.eqNullSafe(F.col("_tw_k")), "left")
+             .join(off_all, F.col(BLOCK) == F.col("_tw_b2"), "left"))
+
+        def total(a: str, b: str) -> Column:
+            zero = F.lit(0)
+            return F.coalesce(F.col(a), zero) + F.coalesce(F.col(b), zero)
+
+        enc = self._encode(cat, y, total("_tw_s_cat", "_tw_os"), total("_tw_n_cat", "_tw_on"),
+                           total("_tw_s_all", "_tw_oa"), total("_tw_c_all", "_tw_oc"))
+        return j.withColumn(self.out, enc).select(*[c for c in df.columns if c != self.out], self.out)
 
     def _transform_by_day(self, df: DataFrame) -> DataFrame:
         y = F.col(self.target)
@@ -235,9 +250,6 @@ class PastTargetEncoder:
                             n_blocks=self.n_blocks)
         dd = dd.select(F.col(self.date).alias("_tw_d"), "_tw_s_all", "_tw_c_all")
         cd = cd.select(F.col(self.col).alias("_tw_k"), F.col(self.date).alias("_tw_d2"), "_tw_s_cat", "_tw_n_cat")
-        n_days = dd.count()
-        if n_days <= BROADCAST_ROWS:
-            dd = F.broadcast(dd)
         j = (df.join(cd, df[self.col].eqNullSafe(cd["_tw_k"]) & df[self.date].eqNullSafe(cd["_tw_d2"]), "left")
                .join(dd, F.col(self.date).eqNullSafe(dd["_tw_d"]), "left"))
         enc = self._encode(F.col(self.col), y, F.col("_tw_s_cat"), F.col("_tw_n_cat"),

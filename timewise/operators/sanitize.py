@@ -122,21 +122,13 @@ class FinalImputer:
     median_method: str = "exact"
 
     def fit(self, df: DataFrame) -> ImputerModel:
-        """Exact medians for the columns that have nulls (or NaN/inf) in the
-        fitting rows - the values that enter the training output; one
-        approximate pass gives the rest a fallback for scoring-time nulls."""
+        """The exact median of every column, with gaps or without: the same
+        numbers fill the training rows and, later, the gaps of new rows."""
         cols = list(self.cols) if self.cols is not None else numeric_columns(df, self.exclude)
         if not cols:
             return ImputerModel({})
         with held(finite_frame(df, cols)) as x:
-            row = x.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
-            gaps = [c for c in cols if row[c] > 0]
-            med = median_map(x, gaps, self.median_method) if gaps else {}
-            rest = [c for c in cols if c not in gaps]
-            if rest:
-                r = x.agg(*[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in rest]).first()
-                med.update({c: r[c] for c in rest})
-        return ImputerModel({c: med.get(c) for c in cols})
+            return ImputerModel(median_map(x, cols, self.median_method))
 
 
 @dataclass

@@ -1,10 +1,12 @@
 """Distributed statistics shared by several operators.
 
-``quantiles`` is exact without holding a group in one task: values are
-ranked with the partitioned prefix helper (range-partitioned, so a hot
-column or group is split), only the rows at the needed ranks survive, and
-the linear interpolation runs on those few rows.  ``method='approx'`` uses
-``percentile_approx`` instead (one pass, bounded memory, no sort).
+``quantiles`` is exact and never orders rows: equal values are first counted
+(a grouped count, combined map-side), so a value that fills most of a column is
+one row from there on.  The counts, one row per distinct value, are put in
+order with the partitioned prefix helper; the value that covers a rank follows
+from the running count, and the linear interpolation runs on the two values
+per probability that are left.  ``method='approx'`` uses ``percentile_approx``
+instead (one pass, bounded memory).
 """
 from __future__ import annotations
 
@@ -17,8 +19,6 @@ from pyspark.sql import functions as F
 from timewise.functions.numeric import finite
 from timewise.plans.prefix import running_totals
 
-BROADCAST_ROWS = 1_000_000
-
 
 def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), finite_only: bool = True) -> DataFrame:
     """(by..., column, value) for every non-null value of the given columns."""
@@ -43,19 +43,24 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
     if method == "approx":
         return long.groupBy(*keys).agg(*[F.percentile_approx("value", p, accuracy).alias(n)
                                           for p, n in zip(probs, names)])
-    j = running_totals(long, [F.col("value").asc()], {"_rk": F.lit(1).cast("long")}, partition_by=keys,
-                       totals=True).withColumnRenamed("_rk__total", "_n")
+    counts = long.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_c"))
+    j = running_totals(counts, [F.col("value").asc()], {"_before": F.col("_c")}, partition_by=keys,
+                       totals=True).withColumnRenamed("_before__total", "_n")
     pos = {n: F.lit(p) * (F.col("_n") - 1).cast("double") for p, n in zip(probs, names)}
     lo = {n: F.floor(pos[n]).cast("long") for n in names}
+
+    def covers(rank):
+        return (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_c"))
+
     wanted = None
     for n in names:
-        cond = (F.col("_rk") == lo[n]) | (F.col("_rk") == lo[n] + 1)
+        cond = covers(lo[n]) | covers(lo[n] + 1)
         wanted = cond if wanted is None else wanted | cond
     few = j.where(wanted)
     aggs = []
     for n in names:
-        v_lo = F.max(F.when(F.col("_rk") == lo[n], F.col("value")))
-        v_hi = F.coalesce(F.max(F.when(F.col("_rk") == lo[n] + 1, F.col("value"))), v_lo)
+        v_lo = F.max(F.when(covers(lo[n]), F.col("value")))
+        v_hi = F.coalesce(F.max(F.when(covers(lo[n] + 1), F.col("value"))), v_lo)
         frac = F.first(pos[n] - lo[n].cast("double"))
         aggs.append((v_lo + (v_hi - v_lo) * frac).alias(n))
     return few.groupBy(*keys).agg(*aggs)

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from timewise.plans.cache import held
+from timewise.session import ensure_checkpoint_dir
 
 BLOCK = "_tw_blk"
 
@@ -37,6 +38,25 @@ def _null_safe_on(cols: Sequence[str], left: DataFrame, right: DataFrame) -> Col
     return cond
 
 
+def in_blocks(df: DataFrame, order_by: Sequence[Column], n_blocks: int | None = None, checkpoint: bool = True) -> DataFrame:
+    """``df`` range-partitioned on the full sort key, with the partition
+    number as block id (column ``BLOCK``): blocks are in key order.
+
+    The range sampler and the shuffle both read the held source, so the
+    upstream plan runs once; the checkpoint then fixes the blocks."""
+    spark = df.sparkSession
+
+    def cut(src: DataFrame) -> DataFrame:
+        return (src.repartitionByRange(n_blocks or default_blocks(spark), *order_by)
+                .withColumn(BLOCK, F.spark_partition_id()))
+
+    if not checkpoint:
+        return cut(df)
+    ensure_checkpoint_dir(spark)
+    with held(df):
+        return cut(df).checkpoint(eager=True)
+
+
 def running_totals(
     df: DataFrame,
     order_by: Sequence[Column],
@@ -53,21 +73,10 @@ def running_totals(
     with a unique tie key) for the result to be deterministic.  ``totals``
     also adds ``<measure>__total``, the group's full sum, taken from the
     block table (no second pass over the rows)."""
-    spark = df.sparkSession
-    n_blocks = n_blocks or default_blocks(spark)
     part_cols = [F.col(c).asc_nulls_first() for c in partition_by]
     tmp = {m: f"_tw_m_{m}" for m in measures}
     src = df.select("*", *[e.alias(tmp[m]) for m, e in measures.items()])
-    if checkpoint:
-        # the range sampler and the shuffle both read the held source, so the
-        # upstream plan runs once; the checkpoint then fixes the blocks
-        with held(src):
-            ranged = (src.repartitionByRange(n_blocks, *part_cols, *order_by)
-                      .withColumn(BLOCK, F.spark_partition_id()))
-            ranged = ranged.checkpoint(eager=True)
-    else:
-        ranged = (src.repartitionByRange(n_blocks, *part_cols, *order_by)
-                  .withColumn(BLOCK, F.spark_partition_id()))
+    ranged = in_blocks(src, [*part_cols, *order_by], n_blocks, checkpoint)
 
     frame_end = Window.currentRow if inclusive else -1
     w_local = (
@@ -99,8 +108,6 @@ def running_totals(
     if totals:
         group_tot = block_tot.groupBy(*partition_by).agg(
             *[F.sum(f"_tw_t_{m}").alias(f"{m}__total") for m in measures])
-        if partition_by and group_tot.count() <= 1_000_000:
-            group_tot = F.broadcast(group_tot)
         res = joined.select(*out_cols, *[local[c] for c in partition_by if c not in df.columns])
         if partition_by:
             cond = None

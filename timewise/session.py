@@ -46,16 +46,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the cluster and must be on
-    shared storage; it is used as is.  Only when it is unset (tests, local
-    runs) a fresh scratch folder is made.
-    """
+    shared storage; it is used as is, and its absence is an error.  Only a
+    local session without one (tests, single-machine runs) gets a scratch
+    folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Unset: a local run or a test.  A cluster names a shared folder.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="timewise-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
