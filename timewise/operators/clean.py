@@ -24,11 +24,18 @@ def parse_dates(df: DataFrame, cols: Sequence[str] = ("saleDate",),
     return df.withColumns({c: as_date(df, c, formats) for c in _present(df, cols)})
 
 
-def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
+def dedupe(df: DataFrame, subset: Sequence[str] | None = None, event_time: str | None = None,
+           within: str = "1 day") -> DataFrame:
     """Drop exact duplicate rows.  Spark aggregates map-side first, so a
-    group of many copies collapses before the shuffle."""
+    group of many copies collapses before the shuffle.
+
+    On a stream the seen rows are state, which a watermark has to bound:
+    name the ``event_time`` column, and copies that arrive ``within`` that
+    time of each other collapse."""
     if df.isStreaming:
-        return df.dropDuplicates(list(subset) if subset else None)
+        if event_time is None:
+            raise ValueError("dedupe on a stream needs event_time; its state would grow for ever")
+        return df.withWatermark(event_time, within).dropDuplicatesWithinWatermark(list(subset or df.columns))
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
@@ -37,18 +44,23 @@ def to_numbers(df: DataFrame, cols: Sequence[str] = ("doorNumber",)) -> DataFram
     return df.withColumns({c: to_number(c) for c in _present(df, cols)})
 
 
+GUARD = "guard_reason"
+
+
 def chronology_guard(df: DataFrame, year_col: str = "yearIntroduced", date_col: str = "saleDate",
-                     min_year: float = 1900.0) -> DataFrame:
+                     min_year: float = 1900.0, flag: bool = False) -> DataFrame:
     """Drop rows introduced after the sale year (null years kept), null out
-    years before ``min_year``, derive sale_year and years_since_intro_at_sale."""
+    years before ``min_year``, derive sale_year and years_since_intro_at_sale.
+    With ``flag`` no row goes; ``guard_reason`` says what is wrong (or null)."""
     if date_col not in df.columns:
         return df
     out = df.withColumn("sale_year", F.year(date_col))
     if year_col not in df.columns:
-        return out
+        return out.withColumn(GUARD, F.lit(None).cast("string")) if flag else out
     y = to_number(year_col)
-    out = out.withColumn(year_col, y).where(
-        ~F.coalesce(F.col(year_col) > F.col("sale_year").cast("double"), F.lit(False)))
+    late = F.coalesce(F.col(year_col) > F.col("sale_year").cast("double"), F.lit(False))
+    out = out.withColumn(year_col, y)
+    out = out.withColumn(GUARD, F.when(late, F.lit(f"{year_col} after {date_col}"))) if flag else out.where(~late)
     out = out.withColumn(year_col, F.when(F.col(year_col) >= F.lit(min_year), F.col(year_col)))
     return out.withColumn("years_since_intro_at_sale",
                           (F.col("sale_year").cast("double") - F.col(year_col)))
@@ -110,21 +122,24 @@ def clean_text_columns(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     return df.withColumns({c: clean_text(c) for c in cols})
 
 
-def stateless_steps(df: DataFrame, drop_key: str = "vehicleID") -> DataFrame:
+def stateless_steps(df: DataFrame, drop_key: str = "vehicleID", keep_rows: bool = False) -> DataFrame:
     """The fixed cleaning sequence, in the reference's order: date parse,
     dedupe, door number, chronology guard, capacity mask, date parts, age,
-    rate, composite, key drop, text normal form."""
+    rate, composite, key drop, text normal form.
+
+    ``keep_rows`` is for scoring: one row out per row in.  Copies stay, and
+    the guard names its objection in ``guard_reason`` instead of dropping."""
     out = parse_dates(df, ["saleDate"])
-    out = dedupe(out)
+    out = out if keep_rows else dedupe(out)
     out = to_numbers(out, ["doorNumber"])
-    out = chronology_guard(out)
+    out = chronology_guard(out, flag=keep_rows)
     out = mask_nonpositive(out, ["cubeCapacity"])
     out = parse_dates(out, ["registrationDate"])
     out = date_parts(out)
     out = age_and_rate(out)
     out = composite(out)
     out = drop_if_present(out, [drop_key])
-    return clean_text_columns(out)
+    return clean_text_columns(out, [c for c in string_columns(out) if c != GUARD])
 
 
 def xy_split(df: DataFrame, target: str = "targetPrice", date: str = "saleDate") -> tuple[DataFrame, DataFrame]:
