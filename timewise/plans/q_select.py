@@ -8,6 +8,7 @@ from timewise.operators.folds import block_folds, time_index
 from timewise.plans.common import normalize
 from timewise.plans.fixtures import TIE_KEY, clean_sales, with_clean
 from timewise.plans.registry import query
+from timewise.session import read
 
 FEATS = ["kilometers", "cubeCapacity", "cylinder", "powerKW", "powerHP", "vehicle_age_years", "km_per_year",
          "years_since_intro_at_sale", "doorNumber", "sale_month"]
@@ -36,19 +37,47 @@ def q_corr_prune(spark, sf):
 V3 = ["kilometers", "cylinder", "vehicle_age_years"]
 
 
+def _gram_sql(cols, src="st"):
+    """CTEs g0, g: the products of three columns, gaps filled with medians."""
+    fills = ", ".join(f"coalesce({c}, (SELECT median({c}) FROM {src})) AS {n}" for c, n in zip(cols, "xyz"))
+    return (f"f AS (SELECT {fills} FROM {src})",
+            "g0 AS (SELECT sum(x * x) AS aa, sum(x * y) AS ab, sum(x * z) AS ac, sum(y * y) AS bb, sum(y * z) AS bc, sum(z * z) AS cc FROM f)",
+            "g AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM g0)")
+
+
 @query("vif", with_clean("""
 SELECT 'kilometers' AS "column", round(aa * (bb * cc - bc * bc) / det, 6) AS vif FROM g
 UNION ALL SELECT 'cylinder', round(bb * (aa * cc - ac * ac) / det, 6) FROM g
-UNION ALL SELECT 'vehicle_age_years', round(cc * (aa * bb - ab * ab) / det, 6) FROM g""",
-    """g0 AS (SELECT sum(kilometers * kilometers) AS aa, sum(kilometers * cylinder) AS ab,
-       sum(kilometers * vehicle_age_years) AS ac, sum(cylinder * cylinder) AS bb,
-       sum(cylinder * vehicle_age_years) AS bc, sum(vehicle_age_years * vehicle_age_years) AS cc
-       FROM st WHERE kilometers IS NOT NULL AND cylinder IS NOT NULL AND vehicle_age_years IS NOT NULL)""",
-    "g AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM g0)"))
+UNION ALL SELECT 'vehicle_age_years', round(cc * (aa * bb - ab * ab) / det, 6) FROM g""", *_gram_sql(V3)))
 def q_vif(spark, sf):
     return normalize(SE.vif(clean_sales(spark, sf), V3))
 
 
+@query("vif_singular", """
+SELECT 'quantity' AS "column", CAST('inf' AS DOUBLE) AS vif UNION ALL SELECT 'twice', CAST('inf' AS DOUBLE)
+UNION ALL SELECT 'tax', round(1 / (1 - pow(sum(l_quantity * l_tax), 2) / (sum(l_quantity * l_quantity) * sum(l_tax * l_tax))), 6) FROM lineitem""")
+def q_vif_singular(spark, sf):
+    """Exact dependence: infinite for both columns, the third one untouched."""
+    li = read(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), (2 * F.col("l_quantity")).alias("twice"),
+                                            F.col("l_tax").alias("tax"))
+    return normalize(SE.vif(li, ["quantity", "twice", "tax"]))
+
+
+@query("vif_prune", """
+WITH s AS (SELECT l_quantity AS x, l_quantity + 0.25 * l_tax * l_quantity AS y, l_discount + 1 AS z FROM lineitem),
+g0 AS (SELECT sum(x * x) AS aa, sum(x * y) AS ab, sum(x * z) AS ac, sum(y * y) AS bb, sum(y * z) AS bc, sum(z * z) AS cc FROM s),
+g AS (SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det FROM g0),
+v AS (SELECT 'quantity' AS c, aa * (bb * cc - bc * bc) / det AS v FROM g UNION ALL SELECT 'taxed', bb * (aa * cc - ac * ac) / det FROM g
+      UNION ALL SELECT 'kept', cc * (aa * bb - ab * ab) / det FROM g)
+SELECT CAST(1 AS BIGINT) AS step, 'vif' AS rule, arg_max(c, v) AS "column", round(max(v), 3) AS value FROM v WHERE v > 10 HAVING count(*) > 0""")
+def q_vif_prune(spark, sf):
+    """Near dependence: the larger VIF of the pair goes, then all are small."""
+    li = read(spark, sf, "lineitem").select(F.col("l_quantity").alias("quantity"), (F.col("l_discount") + 1).alias("kept"),
+                                            (F.col("l_quantity") + 0.25 * F.col("l_tax") * F.col("l_quantity")).alias("taxed"))
+    t = SE.vif_prune(li, ["quantity", "taxed", "kept"])
+    return t.select("step", "rule", "column", F.round("value", 3).alias("value"))
+
+
 def _f_sql(rounded=True):
     rd = "round" if rounded else ""
     dg = ", 6" if rounded else ""
@@ -70,19 +99,16 @@ def q_k_best(spark, sf):
 
 def _mi_sql(bins=10, rounded=True):
     pairs = " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, CAST({i} AS BIGINT) AS position, {c} AS x, {Y} AS y FROM st "
+        f"SELECT '{c}' AS feature, CAST({i} AS BIGINT) AS position, CAST({c} AS DOUBLE) AS x, {Y} AS y FROM st "
         f"WHERE {c} IS NOT NULL AND {Y} IS NOT NULL" for i, c in enumerate(FEATS))
+    probs = "[" + ", ".join(f"{k / bins}" for k in range(1, bins)) + "]"
     return f"""
 SELECT feature, {"round" if rounded else ""}(sum(nxy / n * ln(nxy * n / (nx * ny))){", 6" if rounded else ""}) AS mutual_info, any_value(position) AS position
-FROM (SELECT *, sum(nxy) OVER (PARTITION BY feature, bx) AS nx, sum(nxy) OVER (PARTITION BY feature, by_) AS ny
-      FROM (SELECT feature, position, bx, by_, count(*) AS nxy, any_value(n) AS n
-            FROM (SELECT p.feature, p.position,
-                         CASE WHEN xh = xl THEN 0 ELSE least(CAST(floor((x - xl) * ({float(bins)} / (xh - xl))) AS BIGINT), {bins - 1}) END AS bx,
-                         CASE WHEN yh = yl THEN 0 ELSE least(CAST(floor((y - yl) * ({float(bins)} / (yh - yl))) AS BIGINT), {bins - 1}) END AS by_,
-                         n
+FROM (SELECT *, sum(nxy) OVER (PARTITION BY feature, bx) AS nx, sum(nxy) OVER (PARTITION BY feature, by_) AS ny, sum(nxy) OVER (PARTITION BY feature) AS n
+      FROM (SELECT feature, position, bx, by_, count(*) AS nxy
+            FROM (SELECT p.feature, p.position, len(list_filter(ex, lambda e: e < x)) AS bx, len(list_filter(ey, lambda e: e < y)) AS by_
                   FROM ({pairs}) p
-                  JOIN (SELECT feature, min(x) AS xl, max(x) AS xh, min(y) AS yl, max(y) AS yh, count(*) AS n
-                        FROM ({pairs}) GROUP BY feature) r USING (feature))
+                  JOIN (SELECT feature, quantile_cont(x, {probs}) AS ex, quantile_cont(y, {probs}) AS ey FROM ({pairs}) GROUP BY feature) r USING (feature))
             GROUP BY feature, position, bx, by_))
 GROUP BY feature"""
 
@@ -118,46 +144,57 @@ def _folded(spark, sf):
 
 @query("forest_scores")
 def q_forest(spark, sf):
-    return SE.forest_scores(clean_sales(spark, sf), FEATS, Y, trees=10, maxDepth=5)
+    return SE.forest_scores(clean_sales(spark, sf), FEATS, Y)
 
 
 @query("lasso_scores")
 def q_lasso(spark, sf):
-    return SE.lasso_scores(_folded(spark, sf), FEATS, Y, alphas=[0.1, 10.0, 100.0])
+    return SE.lasso_scores(_folded(spark, sf), FEATS, Y)
 
 
 @query("backward_eliminate")
 def q_backward(spark, sf):
-    best, log = SE.backward_eliminate(_folded(spark, sf), FEATS, Y, 3, 8)
-    return spark.createDataFrame([(i, f) for i, f in enumerate(best)], "position long, feature string")
+    left = SE.backward_eliminate(_folded(spark, sf), FEATS, Y, 3, 8).features
+    return spark.createDataFrame(list(enumerate(left)), "position long, feature string")
 
 
 @query("select_features")
 def q_select_features(spark, sf):
-    summ = SE.select_features(_folded(spark, sf), FEATS, Y, n=6, methods=("f_test", "mutual_info", "random_forest"),
-                              forest_trees=10)
-    return spark.createDataFrame([(i, f) for i, f in enumerate(summ["selected_features"])],
-                                 "position long, feature string")
+    left = SE.select_features(_folded(spark, sf), FEATS, Y).features
+    return spark.createDataFrame(list(enumerate(left)), "position long, feature string")
 
 
 @query("rfe")
 def q_rfe(spark, sf):
-    keep = SE.rfe(clean_sales(spark, sf), FEATS, Y, k=6, step=2, trees=5)
-    return spark.createDataFrame([(i, f) for i, f in enumerate(keep)], "position long, feature string")
+    left = SE.rfe(clean_sales(spark, sf), FEATS, Y, k=6)
+    return spark.createDataFrame(list(enumerate(left)), "position long, feature string")
 
 
 @query("compare_selectors")
 def q_compare(spark, sf):
-    s = clean_sales(spark, sf)
-    kb = [r["feature"] for r in SE.select_k_best(s, FEATS, Y, 5).collect()]
-    fr = [r["feature"] for r in SE.forest_scores(s, FEATS, Y, trees=10, maxDepth=5)
-          .orderBy(F.col("score").desc(), "position").limit(5).collect()]
-    return SE.compare_selectors({"f_score": kb, "forest": fr})
+    """The five best features by F score, recursive elimination, the ensemble
+    of scorers and mean |attribution| of a linear model."""
+    from pyspark.ml.regression import LinearRegression
+
+    from timewise.operators.explain import attribution_rank, linear_attribution
+    from timewise.operators.models import assembler
+    s, k = _folded(spark, sf).persist(), 5
+    x = SE.filled(s, FEATS, Y)
+    coefs = LinearRegression(labelCol=Y).fit(assembler(FEATS).transform(x)).coefficients
+    rows = x.withColumn("_row", F.lit(0))
+    attribution = attribution_rank(linear_attribution(rows, dict(zip(FEATS, map(float, coefs))), ["_row"]), k).orderBy("rank")
+    scores = SE.method_scores(s, FEATS, Y)
+    out = SE.compare_selectors({
+        "f_score": [r["feature"] for r in SE.select_k_best(s, FEATS, Y, k).collect()],
+        "rfe": SE.rfe(s, FEATS, Y, k, trees=20),
+        "ensemble": [r["feature"] for r in SE.rank_ensemble(scores, k).orderBy("rank").collect()],
+        "attribution": [r["feature"] for r in attribution.collect()]})
+    s.unpersist()
+    return out
 
 
 @query("remove_multicollinearity")
 def q_remove_mc(spark, sf):
-    """Correlation prune then VIF prune (Gram matrix once, sub-matrices per round), with its removal log."""
-    kept, log = SE.remove_multicollinearity(clean_sales(spark, sf), FEATS, 0.8, 10.0)
-    rows = [("kept", i, c) for i, c in enumerate(kept)] + [("removed", i, m) for i, m in enumerate(log)]
-    return spark.createDataFrame(rows, "kind string, position long, entry string")
+    """The removal table: correlation rule, then VIF rule (Gram matrix once, sub-matrices per step)."""
+    _, gone = SE.remove_multicollinearity(clean_sales(spark, sf), FEATS, 0.8, 10.0)
+    return gone
