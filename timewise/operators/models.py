@@ -6,10 +6,11 @@ for model x fold x trial) and receives metrics tables.
 """
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -17,7 +18,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timewise.operators.metrics import metrics, metrics_average
+from timewise.operators.metrics import METRICS, metrics
 
 FEATURES = "features"
 PRED = "prediction"
@@ -64,146 +65,156 @@ def vote(df: DataFrame, pred_cols: Sequence[str], name: str = "vote") -> DataFra
     return df.withColumn(name, total / F.lit(float(len(pred_cols))))
 
 
+def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    return assembler(features).transform(df.drop(FEATURES))
+
+
 @dataclass
-class VotingModel:
+class SingleModel:
+    """One fitted learner with the features it takes."""
     models: list
     features: Sequence[str]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = assembler(self.features).transform(df)
-        names = []
-        for i, m in enumerate(self.models):
-            out = m.transform(out).withColumnRenamed(PRED, f"_p{i}")
-            names.append(f"_p{i}")
-        return vote(out, names, PRED).drop(*names, FEATURES)
+        return self.models[0].transform(_assembled(df, self.features)).drop(FEATURES)
 
 
-def fit_vote(estimators, df: DataFrame, features: Sequence[str]) -> VotingModel:
-    data = assembler(features).transform(df)
-    with ThreadPoolExecutor(len(estimators)) as ex:
-        models = list(ex.map(lambda est: est.fit(data), estimators))
-    return VotingModel(models, features)
+@dataclass
+class VotingModel:
+    """Mean of the base predictions."""
+    models: list
+    features: Sequence[str]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out, names = base_predictions(self.models, df, self.features)
+        return vote(out, names, PRED).drop(*names)
 
 
 @dataclass
 class StackingModel:
-    bases: list
-    meta: object
+    """A ridge over the base predictions."""
+    models: list
     features: Sequence[str]
+    meta: object
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = assembler(self.features).transform(df)
-        names = []
-        for i, m in enumerate(self.bases):
-            out = m.transform(out).withColumnRenamed(PRED, f"_p{i}")
-            names.append(f"_p{i}")
-        out = out.drop(FEATURES)
-        meta_in = VectorAssembler(inputCols=names, outputCol=FEATURES).transform(out)
-        return self.meta.transform(meta_in).drop(*names, FEATURES)
-
-
-def fit_stack(estimators, df: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0,
-              folds: int = 2, fold_col: str | None = None) -> StackingModel:
-    """Out-of-fold base predictions over contiguous blocks -> ridge; bases refitted on all rows.
-    ``fold_col`` names a precomputed block-fold column (see ``folds.block_folds``)."""
-    data = assembler(features).transform(df)
-    if fold_col is None:
-        data = data.withColumn("_fold", (F.abs(F.xxhash64(*features)) % folds).cast("long"))
-        fold_col = "_fold"
+        out, names = base_predictions(self.models, df, self.features)
+        return self.meta.transform(_assembled(out, names)).drop(*names, FEATURES)
+
+
+def base_predictions(models: Sequence, df: DataFrame, features: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``df`` with one prediction column per fitted model."""
+    out, names = _assembled(df, features), [f"_p{i}" for i in range(len(models))]
+    for m, name in zip(models, names):
+        out = m.transform(out).withColumnRenamed(PRED, name)
+    return out.drop(FEATURES), names
+
+
+def fit_all(estimators: Sequence, df: DataFrame, features: Sequence[str], threads: int = 4) -> list:
+    data = _assembled(df, features)
+    with ThreadPoolExecutor(max(1, threads)) as ex:
+        return list(ex.map(lambda est: est.fit(data), estimators))
+
+
+def fit_single(estimator, df: DataFrame, features: Sequence[str]) -> SingleModel:
+    return SingleModel(fit_all([estimator], df, features), list(features))
+
+
+def fit_vote(estimators, df: DataFrame, features: Sequence[str]) -> VotingModel:
+    return VotingModel(fit_all(estimators, df, features), list(features))
+
+
+def fit_stack(estimators, df: DataFrame, features: Sequence[str], label: str, alpha: float = 1.0, folds: int = 2,
+              fitted: Sequence | None = None) -> StackingModel:
+    """Out-of-fold base predictions over contiguous blocks of the time index
+    (``row_idx``, 0..n-1 in ``df``), a ridge fitted on those, and the bases
+    fitted on all rows (``fitted`` where they already are).  Evaluation and
+    final fit both come here, so they use the same blocks."""
+    from timewise.operators.folds import IDX, block_fold
+    cut = df.withColumn("_blk", block_fold(F.col(IDX), F.lit(df.count()), folds))
     oof = None
     for k in range(folds):
-        tr, te = data.where(F.col(fold_col) != k), data.where(F.col(fold_col) == k)
-        part = te
-        for i, est in enumerate(estimators):
-            part = est.fit(tr).transform(part).withColumnRenamed(PRED, f"_p{i}")
+        part, names = base_predictions(fit_all(estimators, cut.where(F.col("_blk") != k), features), cut.where(F.col("_blk") == k), features)
         oof = part if oof is None else oof.unionByName(part)
-    names = [f"_p{i}" for i in range(len(estimators))]
-    meta_in = VectorAssembler(inputCols=names, outputCol="_meta").transform(oof.drop(FEATURES))
-    meta_in = meta_in.withColumnRenamed("_meta", FEATURES)
+    meta_in = _assembled(oof, names)
     st = meta_in.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
     meta = ridge(label, alpha, st["n"], st["sd"]).fit(meta_in)
-    bases = [est.fit(data) for est in estimators]
-    return StackingModel(bases, meta, features)
+    return StackingModel(list(fitted) if fitted is not None else fit_all(estimators, df, features), list(features), meta)
 
 
 def fit_model(estimator, df: DataFrame, features: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=[assembler(features), estimator]).fit(df)
 
 
-def _score_all(fitted: Mapping[str, object], df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Predictions of several fitted models side by side (``p_<name>``), one pass."""
-    out = assembler(features).transform(df)
-    for name, pm in fitted.items():
-        last = pm.stages[-1] if hasattr(pm, "stages") else pm
-        out = last.transform(out).withColumnRenamed(PRED, f"p_{name}")
-    return out.drop(FEATURES)
+KINDS = {"single": SingleModel, "voting": VotingModel, "stacking": StackingModel}
+
+
+def save_learner(learner, path: str) -> dict:
+    """Write the fitted stages under ``path``; returns what to remember."""
+    kind = next(k for k, c in KINDS.items() if type(learner) is c)
+    stages = [*learner.models, *([learner.meta] if kind == "stacking" else [])]
+    for i, m in enumerate(stages):
+        m.write().overwrite().save(f"{path}/{i}")
+    return {"kind": kind, "stages": len(stages), "features": list(learner.features)}
+
 
+def load_learner(spark, saved: dict, path: str):
+    from pyspark.ml.util import DefaultParamsReader
+    stages = [DefaultParamsReader.loadParamsInstance(f"{path}/{i}", spark) for i in range(saved["stages"])]
+    if saved["kind"] == "stacking":
+        return StackingModel(stages[:-1], saved["features"], stages[-1])
+    return KINDS[saved["kind"]](stages, saved["features"])
 
-def evaluate(models: Mapping[str, object], fold_table: DataFrame, features: Sequence[str], label: str,
-             threads: int = 4, inverse=None, ensembles: bool = True, stack_alpha: float = 1.0,
-             stack_folds: int = 2) -> DataFrame:
-    """Fit every base model once per time fold, score the fold's test rows and
-    return per (model, fold) metrics; ``inverse`` (a column function back to
-    the original scale) adds ``_orig`` metrics.
+
+@dataclass
+class Fold:
+    """A time fold: labelled training and test rows in the learner's feature
+    space, and the state that maps its label back (``state.target``)."""
+    fold: int
+    train: DataFrame
+    test: DataFrame
+    features: Sequence[str]
+    state: object | None = None
+
+
+def evaluate_folds(models: Mapping[str, object], folds: Sequence[Fold], label: str, threads: int = 4, ensembles: bool = True,
+                   stack_alpha: float = 1.0, stack_folds: int = 2) -> DataFrame:
+    """Fit every base learner once per fold, score the fold's test rows and
+    return exact metrics per (model, fold); a fold whose state has a target
+    transform adds ``_orig`` metrics.
 
     With ``ensembles`` the voting mean and the stacked ridge are evaluated
-    from the same fitted bases: voting averages their test predictions;
-    stacking fits the bases on ``stack_folds`` contiguous blocks of the fold's
-    training rows for out-of-fold predictions, fits a ridge on those, and
-    applies it to the bases' test predictions (the bases refitted on all
-    training rows are the ones already fitted).  ``fold_table`` is the long
-    (row, fold, role) table of ``folds.time_folds`` and carries ``row_idx``."""
-    from timewise.operators.folds import block_fold
-
-    fold_ids = [r["fold"] for r in fold_table.select("fold").distinct().orderBy("fold").collect()]
+    from the same fitted bases.  The predictions of all models are unpivoted
+    and measured in one grouped aggregation per scale."""
     names = list(models)
-    pool = ThreadPoolExecutor(max(1, threads))
-
-    def fit_all(tr):
-        return dict(zip(names, pool.map(lambda n: fit_model(models[n], tr, features), names)))
 
-    def run(fold):
-        tr = fold_table.where((F.col("fold") == fold) & (F.col("role") == "train"))
-        te = fold_table.where((F.col("fold") == fold) & (F.col("role") == "test"))
-        fitted = fit_all(tr)
-        pred = _score_all(fitted, te, features)
-        cols = {n: F.col(f"p_{n}") for n in names}
+    def run(f: Fold) -> list[dict]:
+        train = f.train.persist()
+        fitted = fit_all([models[n] for n in names], train, f.features, threads)
+        ready = {n: SingleModel([m], f.features) for n, m in zip(names, fitted)}
         if ensembles and len(names) > 1:
-            cols["Voting"] = sum((F.col(f"p_{n}") for n in names), F.lit(0.0)) / F.lit(float(len(names)))
-            n_tr = tr.count()
-            trb = tr.withColumn("_blk", block_fold(F.col("row_idx"), F.lit(n_tr), stack_folds))
-            oof = None
-            for k in range(stack_folds):
-                part = _score_all(fit_all(trb.where(F.col("_blk") != k)), trb.where(F.col("_blk") == k), features)
-                oof = part if oof is None else oof.unionByName(part)
-            pcols = [f"p_{n}" for n in names]
-            meta_in = VectorAssembler(inputCols=pcols, outputCol=FEATURES).transform(oof)
-            st = meta_in.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
-            meta = ridge(label, stack_alpha, st["n"], st["sd"]).fit(meta_in)
-            pred = meta.transform(VectorAssembler(inputCols=pcols, outputCol=FEATURES).transform(pred)) \
-                .withColumnRenamed(PRED, "p_Stacking").drop(FEATURES)
-            cols["Stacking"] = F.col("p_Stacking")
-        pred = pred.select(label, *[c.alias(n) for n, c in cols.items()]).persist()
-        frames = []
-        for n in cols:
-            one = pred.select(F.col(label).alias("_y"), F.col(n).alias("_p"))
-            m = metrics(one, "_y", "_p", method="approx")
-            if inverse is not None:
-                orig = one.select(inverse(F.col("_y")).alias("_y"), inverse(F.col("_p")).alias("_p"))
-                mo = metrics(orig, "_y", "_p", method="approx").first()
-                m = m.withColumns({f"{c}_orig": F.lit(mo[c]) for c in mo.asDict()})
-            frames.append(m.withColumns({"model": F.lit(n), "fold": F.lit(fold).cast("long")}).toPandas())
-        pred.unpersist()
-        return frames
-
-    import pandas as pd
-    folds_pool = ThreadPoolExecutor(max(1, len(fold_ids)))
-    try:
-        frames = [f for fs in folds_pool.map(run, fold_ids) for f in fs]
-    finally:
-        folds_pool.shutdown()
-        pool.shutdown()
-    return fold_table.sparkSession.createDataFrame(pd.concat(frames, ignore_index=True))
+            ready["Voting"] = VotingModel(fitted, f.features)
+            ready["Stacking"] = fit_stack([models[n] for n in names], train, f.features, label, stack_alpha, stack_folds, fitted)
+        pred = f.test
+        for i, m in enumerate(ready.values()):
+            pred = m.transform(pred).withColumnRenamed(PRED, f"_m{i}")
+        long = pred.select(label, *[f"_m{i}" for i in range(len(ready))]).unpivot(
+            [label], [f"_m{i}" for i in range(len(ready))], "model", "_p").persist()
+        out = {r["model"]: r.asDict() for r in metrics(long, label, "_p", by=["model"]).collect()}
+        if f.state is not None:
+            back = long.select("model", f.state.target.inverse(F.col(label)).alias(label), f.state.target.inverse(F.col("_p")).alias("_p"))
+            for r in metrics(back, label, "_p", by=["model"]).collect():
+                out[r["model"]].update({f"{c}_orig": r[c] for c in METRICS})
+        long.unpersist()
+        train.unpersist()
+        return [{**out[f"_m{i}"], "model": n, "fold": f.fold} for i, n in enumerate(ready) if f"_m{i}" in out]
+
+    with ThreadPoolExecutor(max(1, len(folds))) as ex:
+        rows = [r for part in ex.map(run, folds) for r in part]
+    spark = folds[0].train.sparkSession
+    cols = ["n", *METRICS, *([f"{c}_orig" for c in METRICS] if folds[0].state is not None else [])]
+    return spark.createDataFrame([(r["model"], r["fold"], *[r.get(c) for c in cols]) for r in rows],
+                                 "model string, fold long, n long, " + ", ".join(f"{c} double" for c in cols[1:]))
 
 
 def rank_models(per_fold: DataFrame) -> DataFrame:
@@ -218,35 +229,31 @@ def best_model(ranked: DataFrame) -> str:
     return ranked.limit(1).first()["model"]
 
 
-# Search ranges per learner family.
+# Search ranges per learner family (the penalties of the
+# reference's boosting engines have no counterpart in pyspark.ml).
 SEARCH_SPACE = {
-    "gbt": {"maxIter": ("int", 100, 500), "stepSize": ("log", 0.01, 0.3), "maxDepth": ("int", 3, 10),
-            "subsamplingRate": ("float", 0.6, 1.0), "minInstancesPerNode": ("int", 5, 100)},
-    "forest": {"numTrees": ("int", 100, 500), "maxDepth": ("int", 5, 20), "minInstancesPerNode": ("int", 1, 10)},
+    "gbt_leafwise": {"maxIter": ("int", 200, 500), "stepSize": ("float", 0.01, 0.1), "maxDepth": ("int", 5, 15),
+                     "minInstancesPerNode": ("int", 10, 50), "subsamplingRate": ("float", 0.7, 1.0),
+                     "featureSubsetStrategy": ("share", 0.7, 1.0)},
+    "gbt_depthwise": {"maxIter": ("int", 200, 500), "stepSize": ("float", 0.01, 0.1), "maxDepth": ("int", 5, 15),
+                      "minInstancesPerNode": ("int", 5, 50), "subsamplingRate": ("float", 0.7, 1.0),
+                      "featureSubsetStrategy": ("share", 0.7, 1.0)},
+    "forest": {"numTrees": ("int", 100, 300), "maxDepth": ("int", 8, 20), "minInstancesPerNode": ("int", 2, 10),
+               "featureSubsetStrategy": ("one of", ["sqrt", "log2", "0.7", "0.8", "0.9"])},
 }
 
 
 def sample_params(space: Mapping[str, tuple], rng: random.Random) -> dict:
-    import math
-    out = {}
-    for k, (kind, lo, hi) in space.items():
-        if kind == "int":
-            out[k] = rng.randint(lo, hi)
-        elif kind == "log":
-            out[k] = math.exp(rng.uniform(math.log(lo), math.log(hi)))
-        else:
-            out[k] = rng.uniform(lo, hi)
-    return out
-
-
-def search(make_estimator, space: Mapping[str, tuple], fold_table: DataFrame, features: Sequence[str],
-           label: str, trials: int = 30, seed: int = 42, threads: int = 4) -> DataFrame:
+    draw = {"int": rng.randint, "float": rng.uniform, "share": lambda lo, hi: f"{rng.uniform(lo, hi):.6f}",
+            "log": lambda lo, hi: math.exp(rng.uniform(math.log(lo), math.log(hi))), "one of": rng.choice}
+    return {k: draw[kind](*bounds) for k, (kind, *bounds) in space.items()}
+
+
+def search(make_estimator, space: Mapping[str, tuple], folds: Sequence[Fold], label: str, trials: int = 30, seed: int = 42,
+           threads: int = 4) -> DataFrame:
     """Seeded random search: mean fold RMSE per trial, best first."""
     rng = random.Random(seed)
     params = [sample_params(space, rng) for _ in range(trials)]
-    models = {f"trial_{i}": make_estimator(**p) for i, p in enumerate(params)}
-    per_fold = evaluate(models, fold_table, features, label, threads=threads, ensembles=False)
-    ranked = per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse"))
-    spark = fold_table.sparkSession
-    ptab = spark.createDataFrame([(f"trial_{i}", str(p)) for i, p in enumerate(params)], "model string, params string")
-    return ranked.join(ptab, "model").orderBy("rmse", "model")
+    per_fold = evaluate_folds({f"trial_{i}": make_estimator(**p) for i, p in enumerate(params)}, folds, label, threads, ensembles=False)
+    ptab = per_fold.sparkSession.createDataFrame([(f"trial_{i}", str(p)) for i, p in enumerate(params)], "model string, params string")
+    return per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse")).join(ptab, "model").orderBy("rmse", "model")

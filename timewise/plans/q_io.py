@@ -8,7 +8,7 @@ from timewise.operators.metrics import metrics
 from timewise.plans.common import KEY4, normalize
 from timewise.plans.fixtures import AESTHETIC_MAP, MECHANICAL_MAP, TIE_KEY, clean_sales, sales
 from timewise.plans.q_metrics import PRED_CTE, metrics_sql, predictions
-from timewise.plans import q_explain, q_metrics  # noqa: F401  (registers the queries reused below)
+from timewise.plans import q_explain, q_metrics, q_score  # noqa: F401  (registers the queries reused below)
 from timewise.plans.fixtures import with_sales
 from timewise.plans.registry import ORACLES, QUERIES, query
 from timewise.session import read
@@ -115,55 +115,110 @@ def q_preprocess_score(spark, sf):
     return loaded.transform(test)
 
 
+# Scoring keeps every row: as many out as in, with the guard's objections.
+@query("score_rows", with_sales("""
+SELECT count(*) AS rows_in, count(*) AS rows_out, count(*) FILTER (yearIntroduced > year(saleDate)) AS guarded FROM sales"""))
+def q_score_rows(spark, sf):
+    from timewise.plans.preprocess import Preprocessor
+    s = sales(spark, sf)
+    model = Preprocessor(_fixture_cfg()).fit(s.where(F.col("saleDate") < F.lit(CUT).cast("date")))
+    return s.agg(F.count(F.lit(1)).alias("rows_in")).crossJoin(
+        model.transform(s).agg(F.count(F.lit(1)).alias("rows_out"), F.count("guard_reason").alias("guarded")))
+
+
+def _linear(label, cfg):
+    from pyspark.ml.regression import LinearRegression
+    return {"Linear": LinearRegression(featuresCol="features", labelCol=label, solver="normal")}
+
+
+def linear_model(spark, sf):
+    """A saved and reloaded model whose learner has a closed form."""
+    from timewise.operators import models as MO
+    from timewise.plans.trained import LABEL, TrainedModel, fit_features
+    li = read(spark, sf, "lineitem").select("l_quantity", "l_extendedprice")
+    state = fit_features(li, "l_extendedprice", ["l_quantity"], skew_limit=float("inf"))
+    learner = MO.fit_single(_linear(LABEL, None)["Linear"], state.labelled(li), state.features)
+    path = io.scratch_path(spark, "model")
+    TrainedModel(state, learner).save(path)
+    return TrainedModel.load(path)
+
+
+LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("score_batch", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, round(a + b * l_quantity, 4) AS prediction
+FROM lineitem, (SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)""")
+def q_score_batch(spark, sf):
+    p = linear_model(spark, sf).predict(read(spark, sf, "lineitem").select(*LINE_KEY, "l_quantity"))
+    return normalize(p.select(*LINE_KEY, F.round("prediction", 4).alias("prediction")))
+
+
+def _train_cfg(**kw):
+    from timewise.plans.train import TrainConfig
+    return TrainConfig(tie=TIE_KEY, exclude=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"), **kw)
+
+
+# Rounds, trees and trials are settings; the registered flow takes few of them
+# so that it ends within a gate's patience.  Rows and steps are all there.
 @query("train_flow")
 def q_train(spark, sf):
     from timewise.plans.preprocess import Preprocessor
+    from timewise.plans.train import train
+    _, clean = Preprocessor(_fixture_cfg()).fit_transform(sales(spark, sf))
+    spaces = {k: {"maxDepth": ("int", 3, 6), "minInstancesPerNode": ("int", 5, 50)} for k in ("GBT_leafwise", "GBT_depthwise", "RandomForest")}
+    return train(clean, _train_cfg(rounds=5, trees=10, trials=2, spaces=spaces, select_methods=("f_test", "mutual_info", "lasso"))).ranking
+
+
+# The hold-out check on both scales with a linear learner: a target that is
+# positive and skewed is transformed, so the two scales differ.
+@query("train_holdout")
+def q_train_holdout(spark, sf):
     from timewise.plans.train import TrainConfig, train
-    s = sales(spark, sf)
-    _, clean = Preprocessor(_fixture_cfg()).fit_transform(s)
-    cfg = TrainConfig(tie=TIE_KEY, rounds=5, trees=5, exclude=("l_orderkey", "l_linenumber", "l_partkey",
-                                                                "l_suppkey", "l_extendedprice"), threads=4)
-    res = train(clean, cfg)
-    return res.ranking
+    ev = read(spark, sf, "events").select("event_id", F.to_date("ts").alias("day"), F.col("user_id").cast("double").alias("user"),
+                                          (F.col("event_id") % 97).cast("double").alias("turn"), (F.col("value") + 1).alias("y"))
+    cfg = TrainConfig(target="y", date="day", tie=["event_id"], exclude=("event_id",), select=False, trials=0, ensembles=False, learners=_linear)
+    h = train(ev, cfg).holdout
+    return h.select("role", "n", *[F.round(c, 6).alias(c) for c in ("rmse", "mae", "r2", "mdae", "rmse_orig", "mae_orig", "r2_orig", "mdae_orig")])
 
 
-@query("score_stream")
+@query("score_stream", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, round(a + b * l_quantity, 4) AS prediction
+FROM lineitem, (SELECT regr_intercept(l_extendedprice, l_quantity) AS a, regr_slope(l_extendedprice, l_quantity) AS b FROM lineitem)""")
 def q_score_stream(spark, sf):
-    """Events dropped as files into a folder, scored by a stream with the
-    fitted Yeo-Johnson transform, read back from the file sink."""
-    from timewise.functions.numeric import yeo_johnson
+    """Rows dropped as files into a folder, scored by a stream with a fitted,
+    saved and reloaded model, read back from the file sink."""
     from timewise.streaming.stream import score_stream
-    ev = read(spark, sf, "events").select("event_id", "ts", "value")
+    rows = read(spark, sf, "lineitem").select(*LINE_KEY, "l_quantity")
     src = io.scratch_path(spark, "stream-src")
-    io.write_table(ev.repartition(4), src)
+    io.write_table(rows, src)
     sink, ck = io.scratch_path(spark, "stream-sink"), io.scratch_path(spark, "stream-ck")
-    q = score_stream(spark, src, ev.schema, lambda d: d.withColumn("score", yeo_johnson(F.col("value") + 1, 0.2)),
-                     sink, ck)
-    q.awaitTermination()
-    return spark.read.parquet(sink)
+    score_stream(spark, src, rows.schema, linear_model(spark, sf).predict, sink, ck).awaitTermination()
+    return normalize(spark.read.parquet(sink).select(*LINE_KEY, F.round("prediction", 4).alias("prediction")))
 
 
-@query("score_windows_stream")
+@query("score_windows_stream", ORACLES["score_windows"])
 def q_windows_stream(spark, sf):
-    from timewise.streaming.stream import score_metrics_stream
-    ev = read(spark, sf, "events").select("event_id", "ts", "value")
+    from timewise.streaming.stream import read_windows, score_metrics_stream
+    ev = read(spark, sf, "events").select("ts", (F.col("value") * 100).cast("decimal(18,2)").alias("v"))
     src = io.scratch_path(spark, "wstream-src")
     io.write_table(ev.repartition(4), src)
-    stream = io.read_stream(spark, src, ev.schema)
+    stream = io.read_stream(spark, src, ev.schema, max_files_per_trigger=2)
     sink, ck = io.scratch_path(spark, "wstream-sink"), io.scratch_path(spark, "wstream-ck")
-    q = score_metrics_stream(stream, "ts", "value", sink, ck, watermark="0 seconds")
-    q.awaitTermination()
-    return spark.read.parquet(sink)
+    score_metrics_stream(stream, "ts", "v", sink, ck, watermark=None).awaitTermination()
+    return normalize(read_windows(spark, sink))
 
 
 @query("param_search")
 def q_search(spark, sf):
     """Seeded random search over boosted-tree settings on expanding time folds."""
-    from timewise.operators import folds as FO
     from timewise.operators import models as MO
+    from timewise.operators import select as SE
+    from timewise.operators.folds import time_index
     from timewise.plans.q_select import FEATS, Y
-    s = clean_sales(spark, sf).select(*TIE_KEY, "saleDate", *FEATS, Y).dropna()
-    table = FO.time_folds(FO.time_index(s, "saleDate", TIE_KEY), 3)
+    from timewise.plans.train import fold_frames
+    s = SE.filled(clean_sales(spark, sf), FEATS, Y, keep=[*TIE_KEY, "saleDate"])
+    idx = time_index(s, "saleDate", TIE_KEY).persist()
+    frames = fold_frames(idx, FEATS, _train_cfg(select=False))
     space = {"maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3)}
-    make = lambda **p: MO.gbt_leafwise(Y, rounds=5, **p)
-    return MO.search(make, space, table, FEATS, Y, trials=3, seed=42)
+    return MO.search(lambda **p: MO.gbt_leafwise("_label", rounds=5, **p), space, frames, "_label", trials=3, seed=42)
