@@ -38,49 +38,95 @@ from .textblock import blocks
 WORDS_KEPT = 1_000_000     # words remembered by one worker before it starts anew
 
 
+class Index(dict):
+    """Numbers words in order of first sight and queues the new ones."""
+
+    def __init__(self):
+        self.queue: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = len(self)
+        self.queue.append(word)
+        return i
+
+
+PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+
+
 class WordEncoder:
-    """Token ids of texts under a tokenizer that drops white space and never
-    joins words: a text's ids are its words' ids in order, so each word is
-    encoded once per worker and looked up afterwards."""
+    """Token ids of texts under a tokenizer that lower-cases, drops white
+    space and never joins words or letters with punctuation: a text's ids are
+    its words' ids in order, so each word is encoded once per worker and
+    looked up afterwards.  A word that ends in punctuation is its stem and its
+    tail.  New words are encoded together, with a special token in between."""
 
-    def __init__(self, path: str, end_id: int | None = None):
+    def __init__(self, path: str, end_id: int | None = None, mark: str = "<|startoftext|>"):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.end = end_id
+        self.end, self.mark, self.mark_id = end_id, mark, self.tokenizer.token_to_id(mark)
         self.clear()
 
     def clear(self):
-        self.index: dict[bytes, int] = {}
-        self.ids = [np.empty(0, np.uint32)]
-        self.flat = np.empty(0, np.uint32)
-        self.first = np.zeros(1, np.int64)
-
-    def learn(self, words):
-        new = [w for w in words if w not in self.index]
-        if not new:
-            return
-        n = len(self.index)
-        self.index.update(zip(new, range(n, n + len(new))))
-        enc = self.tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        ids = [e.ids for e in enc]
-        lens = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for i in ids for x in i), np.uint32, int(lens.sum()))
-        self.flat = np.concatenate([self.flat, flat])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(lens)])
+        self.index = Index()
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of whole words."""
+        odd = [i for i, w in enumerate(words) if self.mark_id is None or b"<|" in w]
+        out: list = [None] * len(words)
+        plain = np.setdiff1d(np.arange(len(words)), odd)
+        groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
+        texts = [self.mark.join(words[i].decode() for i in g) for g in groups] + [words[i].decode() for i in odd]
+        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        for g, x in zip(groups, ids):
+            cut = np.concatenate([[-1], np.flatnonzero(x == self.mark_id), [len(x)]])
+            for i, a, b in zip(g, cut[:-1] + 1, cut[1:]):
+                out[i] = x[a:b]
+        for i, x in zip(odd, ids[len(groups):]):
+            out[i] = x
+        return out
+
+    def learn(self):
+        """Encode the queued words."""
+        index, whole, ended = self.index, [], []
+        while index.queue:
+            words, index.queue = index.queue, []
+            for w in words:
+                stem = w.rstrip(PUNCTUATION)
+                if stem and len(stem) < len(w) and b"<|" not in w and stem.decode()[-1].isalpha():
+                    ended.append((index[w], index[stem], index[w[len(stem):]]))
+                else:
+                    whole.append(w)
+        if len(index) > len(self.first):
+            grow = 2 * len(index) - len(self.first)
+            self.first, self.count = (np.concatenate([x, np.zeros(grow, np.int64)]) for x in (self.first, self.count))
+        for w, x in zip(whole, self._encode(whole) if whole else ()):
+            self._store(index[w], x)
+        for w, stem, tail in ended:
+            self._store(w, np.concatenate([self.flat[self.first[k]:self.first[k] + self.count[k]] for k in (stem, tail)]))
+
+    def _store(self, i: int, ids: np.ndarray):
+        n = len(ids)
+        if self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + n, np.uint32)])
+        self.flat[self.used:self.used + n] = ids
+        self.first[i], self.count[i] = self.used, n
+        self.used += n
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.index) > WORDS_KEPT:
             self.clear()
-        words = [t.split() for t in texts]
-        every = set()
-        every.update(*words)
-        self.learn(every)
-        out = []
+        # special tokens are told by their case, other text is lower-cased
+        # anyway; white space here is space and 0x09-0x0D
+        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
         get = self.index.__getitem__
-        for w in words:
-            k = np.fromiter(map(get, w), np.int64, len(w))
-            a = self.first[k]
-            n = self.first[k + 1] - a
+        numbers = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
+        if self.index.queue:
+            self.learn()
+        out = []
+        for k in numbers:
+            a, n = self.first[k], self.count[k]
             end = np.cumsum(n)
             total = int(end[-1]) if len(end) else 0
             ids = np.empty(total + (self.end is not None), np.uint32)
@@ -239,7 +285,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 4096
         names, ids, held = [], [], 0
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
-            for first, data, offs in blocks(batch.column("text"), 1 << 19):
+            for first, data, offs in blocks(batch.column("text"), 1 << 21):
                 raw = data.tobytes()
                 texts = [raw[a:b] for a, b in zip(offs[:-1], offs[1:])]
                 for key, x in zip(keys[first:first + len(texts)], enc.encode(texts)):
