@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_text, checkpointed, n_partitions
-from .textblock import LOWER, blocks, mix, prefix_hash, span_hash, word_spans
+from .textblock import LOWER, blocks, lean, lean_group, lean_pair, mix, prefix_hash, span_hash, word_spans
 
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -85,26 +85,40 @@ def backoff(index, totals, row, n_rows: int, n_words: float, alpha: float, least
     return np.bincount(row, score, n_rows)
 
 
+def _squeeze(x: np.ndarray) -> bytes:
+    """An ascending array of 64-bit numbers: differences, byte by byte place,
+    compressed (hashes of one part leave the leading bytes near zero)."""
+    import zstandard
+    d = np.diff(x, prepend=np.uint64(0))
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(d.view(np.uint8).reshape(-1, 8).T).tobytes())
+
+
+def _expand(b: bytes) -> np.ndarray:
+    import zstandard
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def _hold(batches):
-    """Rows of packed batches: ids and compressed texts of about 2 MB."""
-    import zlib
+    """Rows of packed batches: ids and compressed texts of about 4 MB."""
+    import zstandard
     from pyspark import TaskContext
     serial = TaskContext.get().partitionId() << 32
     for batch in batches:
         ids = batch.column("doc_id")
-        for first, data, offs in blocks(batch.column("text"), 1 << 21):
+        for first, data, offs in blocks(batch.column("text"), 1 << 22):
             n = len(offs) - 1
             keys = ids.slice(first, n)
             yield pa.RecordBatch.from_arrays([
                 pa.array([serial], pa.int64()), pa.array([keys.to_pylist()], pa.list_(pa.int64())),
-                pa.array([offs.astype(np.int64).tobytes()], pa.binary()), pa.array([zlib.compress(data.tobytes(), 1)], pa.binary()),
+                pa.array([offs.astype(np.int64).tobytes()], pa.binary()), pa.array([zstandard.ZstdCompressor(level=3).compress(data.tobytes())], pa.binary()),
                 pa.array([len(word_spans(data, offs)[0])], pa.int64())], ["batch", "ids", "offs", "body", "words"])
             serial += 1
 
 
 def _unpack(offs: bytes, body: bytes):
-    import zlib
-    return np.frombuffer(zlib.decompress(body), np.uint8), np.frombuffer(offs, np.int64)
+    import zstandard
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8), np.frombuffer(offs, np.int64)
 
 
 def _by_part(uniq: np.ndarray, parts: int):
@@ -124,7 +138,7 @@ def _ask(parts: int, order: int):
                 if len(full):
                     yield pa.RecordBatch.from_arrays([
                         pa.array(np.full(len(full), name)), pa.array(full, pa.int32()),
-                        pa.array([uniq[cut[i]:cut[i + 1]].tobytes() for i in full], pa.binary()),
+                        pa.array([_squeeze(uniq[cut[i]:cut[i + 1]]) for i in full], pa.binary()),
                         pa.array([counts[cut[i]:cut[i + 1]].tobytes() for i in full], pa.binary())], ["batch", "part", "grams", "counts"])
     return run
 
@@ -132,7 +146,7 @@ def _ask(parts: int, order: int):
 def _answer(table: pa.Table) -> pa.Table:
     """Totals of one hash part, for every batch in its own order."""
     import zlib
-    grams = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("grams")]
+    grams = [_expand(x.as_py()) for x in table.column("grams")]
     counts = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in table.column("counts")])
     every = np.concatenate(grams)
     order = np.argsort(every, kind="stable")
@@ -174,11 +188,11 @@ def _score(parts: int, order: int, n_words: float, alpha: float, least: int):
 def lm_scores(docs: DataFrame, order: int = 2, alpha: float = 0.4, least: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, log_score, mean_log_score) for every document."""
     spark = docs.sparkSession
-    held = checkpointed(as_text(docs, id_col, text_col).mapInArrow(_hold, "batch long, ids array<long>, offs binary, body binary, words long"))
+    held = checkpointed(as_text(docs, id_col, text_col).mapInArrow(lean(_hold), "batch long, ids array<long>, offs binary, body binary, words long"))
     n_words = held.agg(F.sum("words")).first()[0] or 1
     parts = 2 * n_partitions(spark)
-    answers = (held.select("batch", "offs", "body").mapInArrow(_ask(parts, order), "batch long, part int, grams binary, counts binary")
-               .groupBy("part").applyInArrow(_answer, "batch long, part int, wide boolean, totals binary"))
+    answers = (held.select("batch", "offs", "body").mapInArrow(lean(_ask(parts, order)), "batch long, part int, grams binary, counts binary")
+               .groupBy("part").applyInArrow(lean_group(_answer), "batch long, part int, wide boolean, totals binary"))
     s = held.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(
-        _score(parts, order, float(n_words), alpha, least), "doc_id long, n_words long, log_score double")
+        lean_pair(_score(parts, order, float(n_words), alpha, least)), "doc_id long, n_words long, log_score double")
     return s.withColumn("mean_log_score", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

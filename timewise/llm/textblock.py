@@ -57,7 +57,53 @@ def span_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return (p[end] - p[start]) * v[start]
 
 
-def blocks(texts: pa.Array, limit: int = 1 << 20):
+def release() -> None:
+    """Hand freed memory back: a worker outlives its task, and what it keeps
+    is missing to the others of its executor."""
+    import ctypes
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):      # not glibc
+        pass
+
+
+def lean(run, rows: int = 2000):
+    """A batch function that gets its batches in slices of ``rows`` rows, so
+    that what it builds for one stays small, and cleans up behind itself."""
+    def wrapped(batches):
+        def slices():
+            for b in batches:
+                for i in range(0, b.num_rows, rows):
+                    yield b.slice(i, rows)
+        try:
+            yield from run(slices())
+        finally:
+            release()
+    return wrapped
+
+
+def lean_group(run):
+    """The same for a function of one whole group."""
+    def wrapped(table):
+        try:
+            return run(table)
+        finally:
+            release()
+    return wrapped
+
+
+def lean_pair(run):
+    """The same for a function of two groups of one key."""
+    def wrapped(left, right):
+        try:
+            return run(left, right)
+        finally:
+            release()
+    return wrapped
+
+
+def blocks(texts: pa.Array, limit: int = 1 << 19):
     """Yield (first row, bytes, offsets) for runs of rows of about ``limit``
     bytes; a longer single text is a block of its own."""
     if isinstance(texts, pa.ChunkedArray):
