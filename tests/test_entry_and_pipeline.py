@@ -130,10 +130,10 @@ def test_folds_never_see_test_rows(spark):
     from timewise.operators.folds import time_index
     from timewise.plans.train import TrainConfig, fold_frames
     cfg = TrainConfig(target="y", date="d", tie=["id"], exclude=("id",), select=False, folds=2)
-    states = [[f.state.to_dict() for f in fold_frames(time_index(_toy(spark, scale=k), "d", ["id"]), ["a", "b", "c"], cfg)] for k in (1.0, 9.0)]
+    states = [[f.state.to_dict() for f in fold_frames(time_index(_toy(spark, scale=k), "d", ["id"]), ["a"], cfg)] for k in (1.0, 9.0)]
     assert states[0][0] == states[1][0] and states[0][1] != states[1][1]
     cfg.prefit = True
-    shared = [[f.state.to_dict() for f in fold_frames(time_index(_toy(spark, scale=k), "d", ["id"]), ["a", "b", "c"], cfg)] for k in (1.0, 9.0)]
+    shared = [[f.state.to_dict() for f in fold_frames(time_index(_toy(spark, scale=k), "d", ["id"]), ["a"], cfg)] for k in (1.0, 9.0)]
     assert shared[0][0] == shared[0][1] and shared[0][0] != shared[1][0]
 
 
@@ -141,7 +141,7 @@ def test_train_save_load_and_score(spark, tmp_path):
     from timewise.plans.train import TrainConfig, train
     from timewise.plans.trained import TrainedModel
     df = _toy(spark)
-    cfg = TrainConfig(target="y", date="d", tie=["id"], exclude=("id",), rounds=3, trees=3, folds=2, trials=1, n_features=4,
+    cfg = TrainConfig(target="y", date="d", tie=["id"], exclude=("id",), rounds=3, trees=3, folds=1, trials=1, n_features=4,
                       select_methods=("f_test", "lasso"), log_path=str(tmp_path / "log"),
                       spaces={k: {"maxDepth": ("int", 2, 3)} for k in ("GBT_leafwise", "GBT_depthwise", "RandomForest")})
     r = train(df, cfg)
