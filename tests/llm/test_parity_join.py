@@ -36,10 +36,10 @@ def brute(rows):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_brute_force(spark, seed):
+@pytest.mark.parametrize("seed,crowd", [(1, 24), (2, 0)])
+def test_brute_force(spark, seed, crowd):
     rows = list(enumerate(random_texts(seed, 90), 100))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(spark, rows)).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(spark, rows), crowd=crowd).collect()}
     assert got == brute(rows)
 
 

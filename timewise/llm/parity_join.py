@@ -27,8 +27,15 @@ packed arrays, one row per (task batch, hash part).  In a bucket only pairs
 with its least member are made (a star).  They are filtered by size and by
 the Hamming distance of a dense 1024-bit sketch, then verified on the whole
 sets.  After a first components pass, only buckets that still hold members of
-different components contribute their remaining cross pairs, through an
-equi-join that AQE may split.  Members of one component need no more pairs.
+different components matter; members of one component need no more pairs.
+Small ones contribute their remaining cross pairs, through an equi-join.
+A crowded one comes from a large group of near copies or a passage that many
+texts share.  It first gets a second star, on its most central member, which
+joins near copies.  The pigeonhole still holds when a set ignores crowded
+buckets, as long as it keeps more than D other keys; one set of a pair with
+keys to spare is enough.  So only members that spent more keys on crowded
+buckets than they can spare are compared there, block against block, and only
+pairs that sizes and sketches allow leave a task.
 
 Edge cases: null or blank text has an empty set, links with nothing and is a
 component of its own; texts below five words have their whole word sequence
@@ -46,11 +53,13 @@ from pyspark.sql import functions as F
 
 from .common import as_text, checkpointed, n_partitions, small
 from .components import components
-from .textblock import blocks, mix, shingle_sets
+from .textblock import blocks, lean, lean_group, mix, shingle_sets
 
 BAND = 2          # size ratio of a band
 SALTS = 8
 SMALL = 64        # bands below this size use single-shingle chunks
+BLOCK = 1024      # members of a crowded bucket that meet in one task
+CROWD = 24        # buckets above this size contribute pairs of poor members only
 
 
 def max_difference(a, b, t: int):
@@ -79,27 +88,35 @@ def _chunks(s: np.ndarray, band: int, salt: int, groups: int, weight: int) -> np
     return mix(mix(parity[strong] ^ seed) + chunk[cut[strong]])
 
 
-def chunk_keys(s: np.ndarray, t: int) -> np.ndarray:
-    """All bucket keys of a set (sorted distinct shingle hashes)."""
+def dealt(s: np.ndarray, t: int):
+    """Of a set (sorted distinct shingle hashes): (band, keys, slack) for
+    every band it is emitted in.  Slack is how many of the keys of the last
+    salt the pigeonhole can spare (-1 where it fell back to shingles)."""
     n = len(s)
     top = 100 * n // t                    # the largest partner
-    own = band_of(n)
-    out = []
-    for band in range(own, band_of(top) + 1):
+    for band in range(band_of(n), band_of(top) + 1):
         last = BAND ** (band + 1) - 1     # the largest set of the band
         weight = 1 if last < SMALL else 2
         # 1.3 chunks per possible difference keep enough strong chunks;
         # small bands, with single-shingle chunks, take two
         groups = int((1.3 if weight == 2 else 2) * max_difference(last, last, t)) + 2
         most = max_difference(n, min(top, last), t)
+        out = []
         for salt in range(SALTS):
-            keys = _chunks(s, band, salt, groups, weight)
-            out.append(keys)
-            if len(keys) > most:
+            out.append(_chunks(s, band, salt, groups, weight))
+            slack = len(out[-1]) - most - 1
+            if slack >= 0:
                 break
         else:
+            slack = -1
             out.append(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5 + band)))
-    return np.concatenate(out)
+        # the lowest six bits of a key name its band
+        yield band, np.concatenate(out) & ~np.uint64(63) | np.uint64(band), slack
+
+
+def chunk_keys(s: np.ndarray, t: int) -> np.ndarray:
+    """All bucket keys of a set."""
+    return np.concatenate([keys for _, keys, _ in dealt(s, t)])
 
 
 def dense_sketch(s: np.ndarray) -> bytes:
@@ -129,6 +146,39 @@ def _describe(batches):
                                          ["doc_id", "n_shingles", "sid", "cls", "sketch"])
 
 
+def _close(t: int):
+    """Of two blocks of a bucket (lo and hi; equal for a block with itself):
+    the pairs of different components whose sizes and dense sketches allow a
+    link.  No other pair leaves the task."""
+    def run(table: pa.Table) -> pa.Table:
+        rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
+        block, lo, hi = table.column("block").to_numpy(), table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        sketch = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), np.uint64).reshape(len(rep), -1)
+        left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
+        xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in left:
+            j = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) if lo == hi else True)]
+            j = j[100 * np.minimum(n[j], n[i]) >= t * np.maximum(n[j], n[i])]
+            far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1)
+            j = j[far <= max_difference(n[j], n[i], t)]
+            xs.append(np.minimum(rep[j], rep[i]))
+            ys.append(np.maximum(rep[j], rep[i]))
+        return pa.table({"x": np.concatenate(xs), "y": np.concatenate(ys)})
+    return run
+
+
+def _slack(t: int):
+    def run(batches):
+        for batch in batches:
+            ids, rows = batch.column("doc_id").to_pylist(), []
+            for first, data, offs in blocks(batch.column("text")):
+                for i, s in enumerate(shingle_sets(data, offs)):
+                    rows += [(ids[first + i], band, slack) for band, _, slack in dealt(s, t)]
+            cols = list(zip(*rows)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64()))], ["rep", "band", "slack"])
+    return run
+
+
 def _emit(parts: int, t: int):
     def run(batches):
         for batch in batches:
@@ -197,8 +247,13 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, t: int) ->
     cx = classes.select(F.col("cls").alias("a"), F.col("rep").alias("x"), F.col("n_shingles").alias("nx"), F.col("sketch").alias("sx"))
     cy = classes.select(F.col("cls").alias("b"), F.col("rep").alias("y"), F.col("n_shingles").alias("ny"), F.col("sketch").alias("sy"))
     p = (pairs.join(cx, "a").join(cy, "b").where(f"x <> y and 100 * least(nx, ny) >= {t} * greatest(nx, ny)")
-         .mapInArrow(near, "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
-    p = checkpointed(p)
+         .mapInArrow(lean(near), "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct())
+    return _linked(texts, p, t)
+
+
+def _linked(texts: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
+    """The pairs (x, y) of documents that really link, by their whole sets."""
+    p = checkpointed(pairs)
     need = small(p.select(F.col("x").alias("doc_id")).union(p.select("y")).distinct())
 
     def sets(batches):
@@ -215,39 +270,72 @@ def _verified(texts: DataFrame, classes: DataFrame, pairs: DataFrame, t: int) ->
                 keep.append(100 * both >= t * (len(u) + len(v) - both))
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    s = checkpointed(texts.join(need, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"))
+    s = checkpointed(texts.join(need, "doc_id", "left_semi").mapInArrow(lean(sets), "doc_id long, shingles binary"))
     return (p.join(s.select(F.col("doc_id").alias("x"), F.col("shingles").alias("u")), "x")
             .join(s.select(F.col("doc_id").alias("y"), F.col("shingles").alias("v")), "y")
-            .mapInArrow(links, "x long, y long"))
+            .mapInArrow(lean(links), "x long, y long"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
+                    crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every document; see the module
-    text.  ``threshold`` is the Jaccard similarity in percent."""
+    text.  ``threshold`` is the Jaccard similarity in percent; ``crowd`` only
+    chooses between two exact ways."""
     spark = docs.sparkSession
     texts = as_text(docs, id_col, text_col)
-    described = checkpointed(texts.mapInArrow(_describe, "doc_id long, n_shingles long, sid binary, cls long, sketch binary"))
+    described = checkpointed(texts.mapInArrow(lean(_describe), "doc_id long, n_shingles long, sid binary, cls long, sketch binary"))
     classes = checkpointed(described.where("sid is not null").groupBy("sid", "cls")
                            .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
     parts = 2 * n_partitions(spark)
-    buckets = checkpointed(texts.mapInArrow(_emit(parts, threshold), "part int, keys binary, cls binary")
-                           .groupBy("part").applyInArrow(_buckets, "key long, member long, leader long, size long"))
+    buckets = checkpointed(texts.mapInArrow(lean(_emit(parts, threshold)), "part int, keys binary, cls binary")
+                           .groupBy("part").applyInArrow(lean_group(_buckets), "key long, member long, leader long, size long"))
     star = buckets.select(F.col("leader").alias("a"), F.col("member").alias("b")).distinct()
     links = checkpointed(_verified(texts, classes, star, threshold))
     comp = checkpointed(components(links, "x", "y"))
 
-    # what the stars left open: pairs of members of different components
-    # inside one bucket, except those with the leader
-    member = (buckets.where("size > 2").select("key", "member")
-              .join(classes.select(F.col("cls").alias("member"), F.col("rep")), "member")
-              .join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
-              .select("key", "member", F.coalesce("component", "rep").alias("component")))
-    mixed = member.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    member = checkpointed(member.join(mixed, "key"))
-    other = member.select("key", F.col("member").alias("other"), F.col("component").alias("other_component"))
-    cross = (member.join(other, "key").where("component <> other_component and member < other")
-             .select(F.col("member").alias("a"), F.col("other").alias("b")).distinct())
-    more = checkpointed(_verified(texts, classes, cross, threshold))
+    # what the stars left open: buckets with members of different components
+    def with_component(rows: DataFrame) -> DataFrame:
+        return (rows.join(comp.select(F.col("node").alias("rep"), "component"), "rep", "left")
+                .withColumn("component", F.coalesce("component", "rep")))
+
+    def still_mixed(rows: DataFrame) -> DataFrame:
+        mixed = (rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
+                 .where("lo <> hi").select("key", "n"))
+        return checkpointed(rows.join(mixed, "key"))
+
+    member = still_mixed(with_component(
+        buckets.where("size > 2").select("key", "member")
+        .join(classes.select(F.col("cls").alias("member"), "rep", "n_shingles", "sketch"), "member")
+        .withColumn("band", F.col("key").bitwiseAND(63).cast("int"))))
+    crowded = member.where(F.col("n") > crowd)
+    if crowded.take(1):
+        # a second star, on the member with most crowded keys: near copies of
+        # one text centre on the least edited one
+        spent = checkpointed(crowded.groupBy("rep", "band").agg(F.count("*").alias("spent")))
+        centre = crowded.join(spent, ["rep", "band"]).groupBy("key").agg(F.max(F.struct("spent", "rep")).getField("rep").alias("centre"))
+        star = (crowded.join(centre, "key").where("rep <> centre")
+                .select(F.least("rep", "centre").alias("x"), F.greatest("rep", "centre").alias("y")).distinct())
+        links = checkpointed(links.union(_linked(texts, star, threshold)).distinct())
+        comp = checkpointed(components(links, "x", "y"))
+        member = still_mixed(with_component(member.drop("component", "n")))
+        crowded = member.where(F.col("n") > crowd)
+    open_ = member.where(F.col("n") <= crowd).select("key", "rep", "component")
+    other = open_.select("key", F.col("rep").alias("other"), F.col("component").alias("other_component"))
+    cross = open_.join(other, "key").where("component <> other_component and rep < other").select(F.col("rep").alias("x"), F.col("other").alias("y"))
+    if crowded.take(1):
+        spent = checkpointed(crowded.groupBy("rep", "band").agg(F.count("*").alias("spent")))
+        need = small(spent.select(F.col("rep").alias("doc_id")).distinct())
+        slack = texts.join(need, "doc_id", "left_semi").mapInArrow(lean(_slack(threshold)), "rep long, band int, slack long")
+        poor = spent.join(slack, ["rep", "band"]).where("spent > slack").select("rep", "band")
+        poor = crowded.join(poor, ["rep", "band"])
+        # block against block, so that no bucket has to fit into one task
+        n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        rows = poor.withColumn("block", F.pmod(F.xxhash64("rep"), n_blocks).cast("int")).withColumn(
+            "with", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
+        rows = rows.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block",
+                           "rep", "component", "n_shingles", "sketch")
+        cross = cross.union(rows.groupBy("key", "lo", "hi").applyInArrow(lean_group(_close(threshold)), "x long, y long"))
+    more = checkpointed(_linked(texts, cross.distinct(), threshold))
     if more.take(1):
         comp = components(links.union(more), "x", "y")
 
