@@ -31,6 +31,7 @@ from timewise.llm.decontaminate import contaminated
 from timewise.llm.packing import pack
 from timewise.llm.parity_join import near_duplicates as near_duplicate_classes
 from timewise.llm.suffix_dedup import remove_repeats
+from timewise.llm.textblock import lean
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.string())], ["doc_id", "rest_of_text"])
 
     cut = (remove_repeats(docs).where("size(spans) > 0").select("doc_id", "kept")
-           .mapInArrow(decode, "doc_id long, rest_of_text string"))
+           .mapInArrow(lean(decode), "doc_id long, rest_of_text string"))
     kind = dict(docs.dtypes).get("n_chars")
     out = docs.join(cut, "doc_id", "left").where("rest_of_text is null or rest_of_text <> ''")
     text = F.coalesce("rest_of_text", "text")

@@ -38,10 +38,20 @@ def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def as_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator works on, under fixed names, so that
     extra or clashing columns of the input never matter.  A null text is an
-    empty text."""
+    empty text.
+
+    Whole texts are large rows: ten thousand of them, the default Arrow batch,
+    would take tens of MB in the executor and again in its worker.  Unless the
+    session says otherwise, batches get 2000."""
     from pyspark.sql import functions as F
+    conf = df.sparkSession.conf
+    if conf.get(ARROW_ROWS) == "10000":
+        conf.set(ARROW_ROWS, "2000")
     return df.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
                      F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))

@@ -29,6 +29,7 @@ from pyspark.sql import Window as W
 
 from .common import as_text, checkpointed
 from .labels import fold, learning_rows
+from .textblock import lean
 
 
 @dataclass
@@ -106,7 +107,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
             x = model.differences([t.as_py().encode() for t in batch.column("text")])
             yield pa.RecordBatch.from_arrays([pa.array(x), batch.column("y")], ["x", "y"])
 
-    points = rows.where("half = 1").select("text", "y").mapInArrow(measure, "x double, y int").collect()
+    points = rows.where("half = 1").select("text", "y").mapInArrow(lean(measure), "x double, y int").collect()
     y = np.array([r["y"] for r in points], float)
     x = np.array([r["x"] for r in points])
     if len(set(y)) < 2:         # too few rows for a curve of their own
@@ -125,6 +126,6 @@ def score(docs: DataFrame, model: CompressionModel, folds: int = 3, held_out: in
             z = np.clip(model.slope * d + model.offset, -60, 60)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-z))), pa.array(d)], ["doc_id", "score", "difference"])
 
-    s = as_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double, difference double")
+    s = as_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, score double, difference double")
     return s.select("doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"), "difference")

@@ -33,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import as_text
-from .textblock import blocks
+from .textblock import blocks, lean
 
-WORDS_KEPT = 1_000_000     # words remembered by one worker before it starts anew
+WORDS_KEPT = 600_000     # words remembered by one worker before it starts anew
 
 
 class Index(dict):
@@ -298,4 +298,4 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 4096
         if names:
             yield flush(names, ids)
 
-    return as_text(docs, id_col, text_col).mapInArrow(run, PIECES)
+    return as_text(docs, id_col, text_col).mapInArrow(lean(run), PIECES)

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_text, checkpointed, n_partitions
-from .textblock import blocks, mix, powers, prefix_hash, span_hash
+from .textblock import blocks, lean, lean_group, mix, prefix_hash, span_hash
 
 GRAM = 0.4       # share of the match length that makes a gram
 HOT = 8192       # anchors of one gram that may meet in one task
@@ -435,8 +435,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     parts = 4 * n_partitions(spark)
     tid = F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long").alias("tid")
     marks = checkpointed(texts.where(F.octet_length("text") >= length).select("text", tid)
-                         .mapInArrow(_scan(parts, length), "part int, own int, gram binary, tid binary, place binary")
-                         .groupBy("part").applyInArrow(_repeated, "own int, gram long, n long, tid long, pos int, lo int, hi int"))
+                         .mapInArrow(lean(_scan(parts, length)), "part int, own int, gram binary, tid binary, place binary")
+                         .groupBy("part").applyInArrow(lean_group(_repeated), "own int, gram long, n long, tid long, pos int, lo int, hi int"))
     marks = marks.join(classes.select("tid", F.col("rep").alias("doc_id")), "tid")
     own = marks.where("own = 1").select("doc_id", F.col("lo").cast("long").alias("start"), F.col("hi").cast("long").alias("end"))
 
@@ -445,16 +445,16 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    .groupBy("doc_id").agg(F.collect_list(F.struct(F.pmod(F.xxhash64("gram"), F.lit(parts)).cast("int").alias("part"),
                                                                   "gram", "pos", "lo", "hi")).alias("marks")))
         return texts.join(per_doc, "doc_id").mapInArrow(
-            _around(length), "part int, gram long, doc_id long, pos int, lo int, hi int, around binary")
+            lean(_around(length)), "part int, gram long, doc_id long, pos int, lo int, hi int, around binary")
 
     found = (surroundings(F.col("n") <= hot).groupBy("part")
-             .applyInArrow(resolve_spans(length), "doc_id long, start long, end long").unionByName(own))
+             .applyInArrow(lean_group(resolve_spans(length)), "doc_id long, start long, end long").unionByName(own))
     if marks.where((F.col("own") == 0) & (F.col("n") > hot)).take(1):
-        w = checkpointed(surroundings(F.col("n") > hot).mapInArrow(_windows(length), "doc_id long, start long, h1 long, h2 long"))
+        w = checkpointed(surroundings(F.col("n") > hot).mapInArrow(lean(_windows(length)), "doc_id long, start long, h1 long, h2 long"))
         often = w.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
         found = found.unionByName(w.join(often, ["h1", "h2"]).select("doc_id", "start", (F.col("start") + length).alias("end")))
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-             .mapInArrow(_merge, f"doc_id long, spans {_SPANS}"))
+             .mapInArrow(lean(_merge), f"doc_id long, spans {_SPANS}"))
     copies = (named.join(classes.where("copies > 1").select("sha", "rep"), "sha")
               .select("doc_id", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans")))
     single = spans.join(classes.where("copies > 1").select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import as_text
-from .textblock import blocks
+from .textblock import blocks, lean
 
 RULES = ("first", "most", "last")
 
@@ -106,4 +106,4 @@ def section_tokens(docs: DataFrame, vocabulary: str, pattern: str, rule: str = "
                                                  ["doc_id", "section", "start", "end", "n_tokens", "n_crossing", "doc_tokens"])
 
     return as_text(docs, id_col, text_col).mapInArrow(
-        run, "doc_id long, section long, start long, end long, n_tokens long, n_crossing long, doc_tokens long")
+        lean(run), "doc_id long, section long, start long, end long, n_tokens long, n_crossing long, doc_tokens long")

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from .common import as_text, checkpointed
 from .labels import fold, learning_rows
-from .textblock import blocks
+from .textblock import blocks, lean
 
 #: Second-person words (English, German, French, Spanish).
 SECOND_PERSON = ("you your yours yourself u du dich dir dein deine deiner ihr euch tu te toi vous votre vos ton tes "
@@ -73,7 +73,7 @@ class Codes(dict):
             v = w.translate(self.table).replace("*", "")
             if not code & WORD and (v in self.words):
                 code |= HIDDEN
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[raw] = code
         return code
@@ -139,7 +139,7 @@ def learn_lexicon(rows: DataFrame, least: int = 5, ratio: float = 15.0, limit: i
         yield pa.RecordBatch.from_arrays([pa.array([b[0] for b in both]), pa.array([b[1] for b in both], pa.int64()),
                                           pa.array([b[2] for b in both], pa.int64())], ["term", "pos", "neg"])
 
-    table = checkpointed(rows.select("text", "y").mapInArrow(count, "term string, pos long, neg long")
+    table = checkpointed(rows.select("text", "y").mapInArrow(lean(count), "term string, pos long, neg long")
                          .groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).where(f"pos >= {least} or term = ''"))
     total = table.where("term = ''").first()
     if total is None or not total["pos"] or not total["neg"]:
@@ -169,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     # a third of the rows is kept for the curve; the lexicon sees the others
     rows = as_text(docs, id_col, text_col).join(chosen, "doc_id").withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(3)))
     words, starts = learn_lexicon(rows.where("part <> 0"))
-    x = rows.select("doc_id", "text", "y", "part").mapInArrow(_featurize(words, starts, ["doc_id", "y", "part"]),
+    x = rows.select("doc_id", "text", "y", "part").mapInArrow(lean(_featurize(words, starts, ["doc_id", "y", "part"])),
                                                             f"doc_id long, y int, part long, {_F_SCHEMA}")
     x = checkpointed(x.repartition(4, "doc_id").sortWithinPartitions("doc_id"))
     seen = {r["y"]: r["count"] for r in x.groupBy("y").count().collect()}
@@ -192,7 +192,7 @@ def score(docs: DataFrame, model: ToxicityModel, folds: int = 5, held_out: int =
     """(doc_id, held_out, score, predicted, hits) for every document."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.functions import vector_to_array
-    x = as_text(docs, id_col, text_col).mapInArrow(_featurize(model.words, model.starts, ["doc_id"]), f"doc_id long, {_F_SCHEMA}")
+    x = as_text(docs, id_col, text_col).mapInArrow(lean(_featurize(model.words, model.starts, ["doc_id"])), f"doc_id long, {_F_SCHEMA}")
     hits = (F.col("hits") + F.col("start_hits") + F.col("hidden_hits")).cast("long").alias("n_hits")
     if model.trees is None:
         s = x.select("doc_id", hits, F.lit(float(model.prior)).alias("score"))
