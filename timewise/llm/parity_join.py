@@ -305,8 +305,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     member = still_mixed(with_component(
         buckets.where("size > 2").select("key", "member")
-        .join(classes.select(F.col("cls").alias("member"), "rep", "n_shingles", "sketch"), "member")
-        .withColumn("band", F.col("key").bitwiseAND(63).cast("int"))))
+        .join(classes.select(F.col("cls").alias("member"), "rep"), "member")
+        .select("key", "rep", F.col("key").bitwiseAND(63).cast("int").alias("band"))))
     crowded = member.where(F.col("n") > crowd)
     if crowded.take(1):
         # a second star, on the member with most crowded keys: near copies of
@@ -327,7 +327,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         need = small(spent.select(F.col("rep").alias("doc_id")).distinct())
         slack = texts.join(need, "doc_id", "left_semi").mapInArrow(lean(_slack(threshold)), "rep long, band int, slack long")
         poor = spent.join(slack, ["rep", "band"]).where("spent > slack").select("rep", "band")
-        poor = crowded.join(poor, ["rep", "band"])
+        poor = crowded.join(poor, ["rep", "band"]).join(classes.select("rep", "n_shingles", "sketch"), "rep")
         # block against block, so that no bucket has to fit into one task
         n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
         rows = poor.withColumn("block", F.pmod(F.xxhash64("rep"), n_blocks).cast("int")).withColumn(
