@@ -180,3 +180,48 @@ def test_scoring_keeps_every_row(spark, sf):
     few = s.limit(50)
     out = Preprocessor(_fixture_cfg()).fit(s).transform(few.union(few))
     assert out.count() == 100 and out.where("guard_reason is not null").count() == 2 * few.where("yearIntroduced > year(saleDate)").count()
+
+
+def test_model_queries_take_the_defaults(spark, sf, monkeypatch):
+    """The registered model queries run the operators' own settings."""
+    from types import SimpleNamespace
+    from timewise.operators import models as MO
+    from timewise.operators import select as SE
+    from timewise.plans import q_explain, train as T
+    from timewise.plans.preprocess import Preprocessor
+    from timewise.plans.q_io import _train_cfg
+    got, q = {}, entry.queries()
+    monkeypatch.setattr(Preprocessor, "fit_transform", lambda self, df: (None, df))
+    monkeypatch.setattr(T, "train", lambda clean, cfg: got.update(cfg=cfg) or SimpleNamespace(ranking=None))
+    q["train_flow"](spark, sf)
+    assert got["cfg"] == _train_cfg() and got["cfg"].spaces is None
+    assert (got["cfg"].rounds, got["cfg"].trees, got["cfg"].trials, tuple(got["cfg"].select_methods)) == (300, 200, 30, tuple(SE.SCORERS))
+
+    def evaluate(learners, *a, **kw):
+        got["learners"] = learners
+        return spark.createDataFrame([(k, 0, 1.0) for k in learners], "model string, fold int, rmse double")
+    monkeypatch.setattr(MO, "evaluate_folds", evaluate)
+    monkeypatch.setattr(T, "fold_frames", lambda *a: [])
+    assert q["param_search"](spark, sf).count() == 30
+    space = MO.SEARCH_SPACE["gbt_leafwise"]
+    for est in got["learners"].values():
+        assert all(space[k][1] <= float(est.getOrDefault(k)) <= space[k][2] for k in space)
+
+    monkeypatch.setattr(SE, "method_scores", lambda df, cols, y: spark.createDataFrame(
+        [("f_test", c, i, i + 1.0) for i, c in enumerate(cols)], "method string, feature string, position long, score double"))
+    monkeypatch.setattr(SE, "forest_scores", lambda df, cols, y, trees=100, **kw: got.setdefault("rfe", []).append(trees) or spark.createDataFrame(
+        [(c, i, float(i)) for i, c in enumerate(cols)], "feature string, position long, score double"))
+    q["compare_selectors"](spark, sf)
+    assert set(got["rfe"]) == {100}
+
+    made = []
+    monkeypatch.setattr(q_explain, "forest", lambda *a, **kw: made.append(MO.forest(*a, **kw)) or MO.forest(q_explain.Y, trees=1, maxDepth=1))
+    q["explain_report"](spark, sf)
+    assert (made[0].getNumTrees(), made[0].getMaxDepth()) == (200, 12)
+
+
+def test_a_scorer_of_zeros_does_not_count(spark):
+    from timewise.operators.select import rank_ensemble
+    rows = [("f_test", "a", 0, 1.0), ("f_test", "b", 1, 4.0), ("lasso", "a", 0, 0.0), ("lasso", "b", 1, 0.0)]
+    got = rank_ensemble(spark.createDataFrame(rows, "method string, feature string, position long, score double"), 2).orderBy("rank").collect()
+    assert [(r["feature"], r["combined"]) for r in got] == [("b", 1.0), ("a", 0.25)]

@@ -159,15 +159,13 @@ def _train_cfg(**kw):
     return TrainConfig(tie=TIE_KEY, exclude=("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"), **kw)
 
 
-# Rounds, trees and trials are settings; the registered flow takes few of them
-# so that it ends within a gate's patience.  Rows and steps are all there.
+# Every setting at its default: rounds, trees, trials, scorers, search spaces.
 @query("train_flow")
 def q_train(spark, sf):
     from timewise.plans.preprocess import Preprocessor
     from timewise.plans.train import train
     _, clean = Preprocessor(_fixture_cfg()).fit_transform(sales(spark, sf))
-    spaces = {k: {"maxDepth": ("int", 3, 6), "minInstancesPerNode": ("int", 5, 50)} for k in ("GBT_leafwise", "GBT_depthwise", "RandomForest")}
-    return train(clean, _train_cfg(rounds=5, trees=10, trials=2, spaces=spaces, select_methods=("f_test", "lasso"))).ranking
+    return train(clean, _train_cfg()).ranking
 
 
 # The hold-out check on both scales with a linear learner: a target that is
@@ -220,5 +218,4 @@ def q_search(spark, sf):
     s = SE.filled(clean_sales(spark, sf), FEATS, Y, keep=[*TIE_KEY, "saleDate"])
     idx = time_index(s, "saleDate", TIE_KEY).persist()
     frames = fold_frames(idx, FEATS, _train_cfg(select=False))
-    space = {"maxDepth": ("int", 2, 4), "stepSize": ("log", 0.05, 0.3)}
-    return MO.search(lambda **p: MO.gbt_leafwise("_label", rounds=5, **p), space, frames, "_label", trials=3, seed=42)
+    return MO.search(lambda **p: MO.gbt_leafwise("_label", **p), MO.SEARCH_SPACE["gbt_leafwise"], frames, "_label")

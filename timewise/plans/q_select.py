@@ -186,7 +186,7 @@ def q_compare(spark, sf):
     scores = SE.method_scores(s, FEATS, Y)
     out = SE.compare_selectors({
         "f_score": [r["feature"] for r in SE.select_k_best(s, FEATS, Y, k).collect()],
-        "rfe": SE.rfe(s, FEATS, Y, k, trees=20),
+        "rfe": SE.rfe(s, FEATS, Y, k),
         "ensemble": [r["feature"] for r in SE.rank_ensemble(scores, k).orderBy("rank").collect()],
         "attribution": [r["feature"] for r in attribution.collect()]})
     s.unpersist()
