@@ -51,6 +51,24 @@ def test_containment(spark):
     assert shuffled == got
 
 
+def test_containment_of_repeated_rows(spark):
+    """A row given twice counts its shingles once, on either side."""
+    words = [f"w{i}" for i in range(24)]                    # 20 shingles
+    item = (1, " ".join(words))
+    halves = [(60, " ".join(words[:12])), (61, " ".join(words[:19]))]      # 8 and 15 of them
+    whole = [(62, " ".join(words[:20])), (63, " ".join(words))]            # 16 and 20
+    items = lambda rows: spark.createDataFrame(rows, "item_id long, text string")
+    want = {(62, 1, 20, 16, 0.8), (63, 1, 20, 20, 1.0)}
+    for docs in (halves + whole, 2 * (halves + whole)):
+        for its in ([item], [item, item]):
+            got = contaminated(documents(spark, docs), items(its)).collect()
+            assert len(got) == 2 and {tuple(r) for r in got} == want
+    # two texts of one id are one set, for documents and for items
+    parts = [(70, " ".join(words[:12])), (70, " ".join(words[8:]))]
+    assert [tuple(r) for r in contaminated(documents(spark, parts), items([item])).collect()] == [(70, 1, 20, 20, 1.0)]
+    assert [tuple(r) for r in contaminated(documents(spark, whole), items([(1, t) for _, t in parts])).collect() if r.doc_id == 63] == [(63, 1, 20, 20, 1.0)]
+
+
 def test_urls(spark):
     page = '<html><head>{}</head></html>'
     rows = [(1, "http://Bad.example.org/es/x", None), (2, "https://a.example.org/en/1", ""), (3, "http://x.org/fr", page),

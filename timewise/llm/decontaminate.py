@@ -20,7 +20,8 @@ The items' sketches are joined as a broadcast only below ``broadcast_rows``
 
 All of it is DataFrame functions.  Edge cases: null or empty texts contain and
 are contained in nothing; an item or document of fewer than five words has its
-whole word sequence as one shingle; equal items are each reported; an empty
+whole word sequence as one shingle; equal items are each reported; the rows
+of one id are one set of shingles, so a repeated row changes nothing; an empty
 table gives an empty result; extra columns are ignored.
 """
 from __future__ import annotations
@@ -54,7 +55,8 @@ def shingles(w: Column, k: int) -> Column:
 def item_sketches(items: DataFrame, threshold: int, k: int) -> DataFrame:
     """(item_id, n, size_class, h): the k-MinHash table of all size
     partitions; h are the least distinct shingle hashes of an item."""
-    t = items.select("item_id", F.array_sort(F.array_distinct(hashes(F.col("words"), k))).alias("hs")).where("size(hs) > 0")
+    t = (items.select("item_id", F.explode(hashes(F.col("words"), k)).alias("h"))
+         .groupBy("item_id").agg(F.array_sort(F.collect_set("h")).alias("hs")))
     t = t.select("item_id", F.size("hs").alias("n"), "hs", F.ceil(F.log2(F.size("hs"))).cast("int").alias("size_class"))
     most = F.expr(f"cast(floor(shiftleft(1, size_class) * {100 - threshold} / 100) as int) + 1")
     return (t.withColumn("take", F.least(F.col("n"), most))
@@ -75,11 +77,11 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: int = 80, k: int
     # verification: the candidates' whole sets, as shingle texts
     texts = d.join(small(found.select("doc_id").distinct()), "doc_id", "left_semi")
     have = texts.select("doc_id", F.explode(F.array_distinct(shingles(F.col("words"), k))).alias("shingle"))
-    want = it.select("item_id", F.explode(F.array_distinct(shingles(F.col("words"), k))).alias("shingle"))
+    want = it.select("item_id", F.explode(F.array_distinct(shingles(F.col("words"), k))).alias("shingle")).distinct()
     n_item = want.groupBy("item_id").agg(F.count("*").alias("n_item"))
     # a shingle row of a document meets the items that hold it, and only
-    # pairs the search found are kept
-    shared = (have.join(want, "shingle").join(found, ["doc_id", "item_id"], "left_semi")
+    # pairs the search found are kept; rows of one id count a shingle once
+    shared = (have.join(want, "shingle").join(found, ["doc_id", "item_id"], "left_semi").distinct()
               .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared")))
     return (shared.join(n_item, "item_id").where(f"100 * n_shared >= {threshold} * n_item")
             .select("doc_id", "item_id", "n_item", "n_shared", F.round(F.col("n_shared") / F.col("n_item"), 6).alias("containment")))
