@@ -48,6 +48,19 @@ def test_edges(spark, module, label):
         module.fit(documents(spark, []), labels)
 
 
+def test_marks_behind_the_first_piece(spark):
+    """What tells good from bad texts stands behind their first 8192 bytes."""
+    r = np.random.default_rng(3)
+    head, *tails = ([bytes(r.integers(97, 123, 7).astype(np.uint8)).decode() for _ in range(n)] for n in (3000, 40, 40))
+    rows = [(i, " ".join([*r.choice(head, 1100), *r.choice(tails[i % 2], 300)])) for i in range(120)]
+    assert all(len(" ".join(t.split(" ")[:1100])) > 8192 for _, t in rows)
+    docs = documents(spark, rows)
+    model = compression_classifier.fit(docs, spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int"))
+    got = compression_classifier.score(docs, model).where("held_out").collect()
+    assert len(got) > 20 and auc(np.array([g.score for g in got]), np.array([g.doc_id % 2 for g in got])) > 0.99
+    assert sum(w.encode() in model.good for w in tails[1]) > 20 and sum(w.encode() in model.bad for w in tails[0]) > 20
+
+
 def test_toxicity_features():
     codes = toxicity.Codes(["idiot"], ["achli"])
     text = "You 1d10t! The IDIOT, achlichkeit"

@@ -7,9 +7,9 @@ logistic curve over it, fitted on labelled rows that trained no dictionary,
 gives a score that reads as a probability.
 
 The fit sees a bounded sample (``max_rows`` labelled rows by hash of the id,
-one half for the curve; of the other half ``dictionary_rows`` texts a class,
-of which ``sample_bytes`` each feed the dictionary); every document is then scored on its whole text in one scan
-without a shuffle.  The two dictionaries (at most ``dictionary_bytes`` each)
+one half for the curve; of the other half ``dictionary_rows`` whole texts a
+class feed the dictionary, in consecutive pieces of ``sample_bytes``); every
+document is then scored on its whole text in one scan without a shuffle.  The two dictionaries (at most ``dictionary_bytes`` each)
 and two coefficients are the model.
 
 Edge cases: null or empty text has a difference of 0; without labelled rows of
@@ -84,15 +84,16 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     rank = F.row_number().over(W.partitionBy("y", "half").orderBy(F.xxhash64("doc_id", F.lit(9)), "doc_id"))
     chosen = checkpointed(chosen.withColumn("rank", rank))
     rows = as_text(docs, id_col, text_col).join(chosen, "doc_id")
-    # a dictionary keeps pieces of its samples: their first sample_bytes do
     samples = (rows.where((F.col("half") == 0) & (F.col("rank") <= dictionary_rows))
-               .select("doc_id", "y", F.substring(F.col("text").cast("binary"), 1, sample_bytes).alias("piece"))
-               .where(F.octet_length("piece") > 0).collect())
+               .select("doc_id", "y", F.col("text").cast("binary").alias("body"))
+               .where(F.octet_length("body") > 0).collect())
     share = None
     if samples:
-        samples.sort(key=lambda r: (r["doc_id"], bytes(r["piece"])))
+        samples.sort(key=lambda r: (r["doc_id"], bytes(r["body"])))
         share = sum(r["y"] for r in samples) / len(samples)
-    sides = {y: [bytes(r["piece"]) for r in samples if r["y"] == y] for y in (0, 1)}
+    # a dictionary keeps parts of its samples: a long text is several of them
+    sides = {y: [bytes(r["body"][i:i + sample_bytes]) for r in samples if r["y"] == y for i in range(0, len(r["body"]), sample_bytes)]
+             for y in (0, 1)}
     prior = CompressionModel(b"", b"", level, 0.0, 0.0 if share is None else float(np.log((share + 1e-3) / (1 - share + 1e-3))))
     if not sides[0] or not sides[1]:
         return prior
@@ -112,7 +113,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: int =
     x = np.array([r["x"] for r in points])
     if len(set(y)) < 2:         # too few rows for a curve of their own
         y = np.array([r["y"] for r in samples], float)
-        x = model.differences([bytes(r["piece"]) for r in samples])
+        x = model.differences([bytes(r["body"]) for r in samples])
     model.slope, model.offset = logistic(x, y)
     return model
 
