@@ -39,6 +39,15 @@ def test_edges(spark):
     assert ours(documents(spark, []), 400) == []
 
 
+@pytest.mark.parametrize("hot", [8192, 2])
+def test_a_row_given_twice(spark, hot):
+    """As many rows out as in; equal rows of one id repeat each other."""
+    texts = random_texts(7, 30, vocabulary=60)
+    rows = list(enumerate(texts, 10)) + [(200, "p" + texts[0] + "q"), (300, "short"), (300, "short")]
+    rows += [rows[0], rows[0], rows[5], rows[30]]
+    assert ours(documents(spark, rows), 30, hot=hot) == brute(rows, 30)
+
+
 def test_mergesort_orders_suffixes():
     r = np.random.default_rng(2)
     data = r.integers(97, 99, 4000).astype(np.uint8)

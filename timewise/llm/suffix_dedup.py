@@ -455,7 +455,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = found.unionByName(w.join(often, ["h1", "h2"]).select("doc_id", "start", (F.col("start") + length).alias("end")))
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
              .mapInArrow(lean(_merge), f"doc_id long, spans {_SPANS}"))
-    copies = (named.join(classes.where("copies > 1").select("sha", "rep"), "sha")
+    # one row per id, also where a row is given twice
+    copies = (named.distinct().join(classes.where("copies > 1").select("sha", "rep"), "sha")
               .select("doc_id", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans")))
     single = spans.join(classes.where("copies > 1").select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
     return single.unionByName(copies)
