@@ -3,7 +3,7 @@ import random
 
 import duckdb
 
-TABLES = ["documents", "pages", "benchmark", "labels"]
+TABLES = ["documents", "pages", "benchmark", "labels", "conversations", "embeddings"]
 
 
 def documents(spark, rows):

@@ -1,10 +1,12 @@
 """Shared helpers: session folders, table reading, lineage cuts."""
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from timewise.session import ensure_checkpoint_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -13,15 +15,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder and read back.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``;
-    only where that is unset (tests, local runs) a scratch folder is made.
+    The folder is the one the session names in ``spark.checkpoint.dir``; a
+    scratch folder is made only on a local master where that is unset, on a
+    cluster its absence is an error.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="timewise-ckpt-"))
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new path below the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
 BROADCAST_ROWS = 1_000_000
 
 

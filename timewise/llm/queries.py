@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import compression_classifier, toxicity
-from .common import table
+from .common import shared_folder, table
 from .decontaminate import contaminated
 from .lm_scoring import lm_scores
 from .packing import pack
@@ -24,6 +24,7 @@ from .quality_rules import MEASURES, quality_filter
 from .suffix_dedup import remove_repeats
 from .token_counts import section_tokens
 from .url_filter import judge
+from .warc import read_archives, write_archives
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,6 +218,27 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_WARC_SQL = f"""
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha1(b) AS h, min(page_id) OVER (PARTITION BY b) AS least FROM p)
+SELECT page_id, n AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('{_BASE32}', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::INT >> (15 - 5 * (i % 4)::INT)) & 31), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM least THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM least THEN least END AS refers_to
+FROM h
+"""
+
+
+@query(_WARC_SQL)
+def op13_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per page, written to archives and read back."""
+    folder = shared_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder, payloads=False).select(
+        F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @query(corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole corpus pipeline."""
