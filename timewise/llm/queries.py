@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from . import compression_classifier, toxicity
 from .common import shared_folder, table
+from .conversation_repair import damage, repair
 from .decontaminate import contaminated
 from .lm_scoring import lm_scores
 from .packing import pack
@@ -218,6 +219,52 @@ def op10_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def _repair_sql() -> str:
+    """Least (cost, audit) by state, folded over the rows of a conversation."""
+    put = lambda q, c, letter, x: f"{{'c': {q}.c + {c}, 't': {q}.t || '{letter}', 'x': {x}}}"      # noqa: E731
+    far = "{'c': 1000000000, 't': '', 'x': []::VARCHAR[]}"
+    gone = lambda q: put(f"p.{q}", 3, "D", f"p.{q}.x")                                             # noqa: E731
+    stay = "CASE WHEN r.trunc THEN 1 ELSE 0 END"
+    keep = lambda q, i: f"CASE WHEN r.ini = '{i}' AND NOT r.must THEN {put(f'p.{q}', stay, 'K', f'list_append(p.{q}.x, r.line)')} ELSE {far} END"
+    as_role = lambda q, role: (f"CASE WHEN r.must THEN {far} ELSE "                                 # noqa: E731
+                               + put(f"p.{q}", f"2 + {stay}", "R", f"list_append(p.{q}.x, '{role}:' || r.text)") + " END")
+    add = lambda q, role: put(q, 2, "I", f"list_append({q}.x, '{role}:')")                          # noqa: E731
+    step = (f"{{'z': {gone('z')}, 's': least({gone('s')}, {keep('z', 's')}), "
+            f"'u': least({gone('u')}, {', '.join(keep(q, 'u') + ', ' + as_role(q, 'user') for q in 'zsa')}), "
+            f"'a': least({gone('a')}, {keep('u', 'a')}, {as_role('u', 'assistant')})}}")
+    user = f"list_transform([{step}], lambda m: {{'z': m.z, 's': m.s, 'u': least(m.u, {add('m.z', 'user')}, {add('m.s', 'user')}, {add('m.a', 'user')}), 'a': m.a}})[1]"
+    both = f"list_transform([{user}], lambda w: {{'z': w.z, 's': w.s, 'u': w.u, 'a': least(w.a, {add('w.u', 'assistant')})}})[1]"
+    begin = (f"{{'z': {{'c': 0, 't': '', 'x': []::VARCHAR[]}}, 's': {far}, 'u': {{'c': 2, 't': 'I', 'x': ['user:']}}, "
+             "'a': {'c': 4, 't': 'II', 'x': ['user:', 'assistant:']}}")
+    return rf"""
+WITH t AS (SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS tab),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+                                                                                  lambda x: ascii(x)::BIGINT)),
+                                         lambda a, b: xor(tab[1 + (xor(a, b) & 255)], a >> 8))) % 20 AS h FROM conversations, t),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS k
+      FROM c WHERE h <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, k) AS i FROM d),
+f AS (SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+             NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS cut, left(role, 1) AS ini, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS prev FROM n),
+g AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (again AND NOT blank) AS duplicate,
+             count(*) FILTER (cut AND NOT again AND NOT blank) AS truncated, count(*) FILTER (i > 1 AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+             list({{'ini': ini, 'text': text, 'line': role || ':' || text, 'must': blank OR again, 'trunc': cut AND NOT again AND NOT blank}} ORDER BY i) AS rows FROM f GROUP BY conv_id),
+e AS (SELECT *, list_reduce(rows, lambda p, r: {both}, {begin}) AS v FROM g),
+b AS (SELECT *, least(v.z, v.a) AS best FROM e)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(best.c, 0) AS cost, coalesce(best.t, '') AS audit, sha256(coalesce(array_to_string(best.x, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN b ON o.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+@query(_repair_sql())
+def op11_path_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least repair of every damaged conversation."""
+    return repair(damage(table(spark, sf_dir, "conversations")))
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
