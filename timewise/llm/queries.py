@@ -18,6 +18,7 @@ from . import compression_classifier, toxicity
 from .common import shared_folder, table
 from .conversation_repair import damage, repair
 from .decontaminate import contaminated
+from .hard_negatives import mine
 from .lm_scoring import lm_scores
 from .packing import pack
 from .parity_join import near_duplicates
@@ -265,6 +266,26 @@ def op11_path_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair(damage(table(spark, sf_dir, "conversations")))
 
 
+_MINE_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS s FROM e a JOIN e b ON a.vec_id % 100 = 0),
+p AS (SELECT a, b, s FROM s WHERE same AND a <> b QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS p, s.b AS n, p.s AS ps, s.s AS ns, row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) AS r
+      FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.s <= 100 * s.s AND 100 * s.s <= 100 * p.s)
+SELECT a AS anchor_id, p AS positive_id, r::INT AS rank, n AS negative_id, ps AS positive_score, ns AS negative_score FROM n WHERE r <= 5
+"""
+
+
+@query(_MINE_SQL)
+def op12_gnat_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth row."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(rows.select("vec_id", label.alias("label"), "embedding"), F.col("id") % 100 == 0)
+
+
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _WARC_SQL = f"""
 WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
