@@ -8,6 +8,20 @@ from timewise.operators import clean
 from timewise.operators.encode import OrdinalEncoder, PastTargetEncoder, TopShareOneHot, level_shares
 
 
+def test_clean_text_of_all_scripts(spark):
+    """Known readings; different values stay different; the driver-side twin agrees."""
+    known = {"Москва": "moskva", "Киев": "kiev", "Αθήνα": "athena", "東京": "dong jing", "Đà Nẵng": "da nang", "서울": "seoul", "Хабаровск": "khabarovsk",
+             "Юрий Щукин": "iurii shchukin", "Ёлка": "iolka", "Größe Ω": "grosse o", "ﬃ": "ffi", "①": "1", "x—y…z": "x y z", "日本 2": "ri ben 2"}
+    other = ["\U00020000", "\U00020001", "שלום", "مرحبا", "ไทย", "हिन्दी", "Հայ", "ꀀ", "ꀁ", "\U0001f600", "カタカナ", "ə", "ѣ", "Ǿ", "Ấ", "ͱ"]
+    values = [*known, *other]
+    df = spark.createDataFrame([(v,) for v in values], "t string")
+    got = dict(zip(values, (r[0] for r in df.select(clean_text("t")).collect())))
+    assert {v: got[v] for v in known} == known
+    said = [got[v] for v in other if v != "\U0001f600"]
+    assert len(set(said)) == len(said) and all(x and x.isascii() for x in said) and got["\U0001f600"] == ""
+    assert got == {v: clean_text_py(v) for v in values}
+
+
 def test_clean_text_folds_and_collapses(spark):
     df = spark.createDataFrame([("  Ärger  Straße—ÇA  va! ",), (None,), ("Crème BRÛLÉE",)], "t string")
     got = [r[0] for r in df.select(clean_text("t")).collect()]

@@ -92,6 +92,31 @@ def q_clean_text(spark, sf):
     return d.select("doc_id", clean_text("text").alias("text_clean"))
 
 
+# Nation names carried over into other scripts and back by the normal form.
+# Letters and characters of the fixture with their readings.
+_CYR = dict(zip("abcdefghijklmnopqrstuvwxyz", "абцдефгхийклмнопярстуvшжыз"))
+_CYR_BACK = {"б": "b", "в": "v", "г": "g", "д": "d", "ж": "zh", "з": "z", "и": "i", "й": "i", "к": "k", "л": "l", "м": "m", "н": "n", "п": "p", "т": "t",
+             "у": "u", "ф": "f", "х": "kh", "ц": "ts", "ш": "sh", "ы": "y", "я": "ia", "а": "a", "е": "e", "о": "o", "р": "r", "с": "s"}
+_OTHER = [("東京", "dong jing"), ("Αθήνα", "athena"), ("Đà Nẵng", "da nang"), ("서울", "seoul"), ("北京大学", "bei jing da xue"), ("ひらがな", "hiragana"),
+          ("Щёлково", "shchiolkovo"), ("ﬁn ＡＢ1", "fin ab1"), ("Gdańsk—Łódź", "gdansk lodz"), ("ქართული", "kartuli")]
+
+
+def _scripts_sql():
+    cyr = "array_to_string(list_transform(string_split(replace(lower(n_name), '_', ' '), ''), lambda x: CASE x " + " ".join(
+        f"WHEN '{a}' THEN '{_CYR_BACK.get(b, b)}'" for a, b in _CYR.items()) + " ELSE x END), '')"
+    other = "CASE n_nationkey % 10 " + " ".join(f"WHEN {i} THEN '{b}'" for i, (_, b) in enumerate(_OTHER)) + " END"
+    return f"SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, {cyr} AS name_clean, {other} AS place_clean, {cyr} || ' ' || {other} AS both_clean FROM nation"
+
+
+@query("clean_text_scripts", _scripts_sql())
+def q_clean_scripts(spark, sf):
+    n = read(spark, sf, "nation")
+    name = F.translate(F.upper("n_name"), "".join(_CYR).upper(), "".join(_CYR.values()).upper())
+    place = F.element_at(F.array(*[F.lit(a) for a, _ in _OTHER]), (F.col("n_nationkey") % 10 + 1).cast("int"))
+    return normalize(n.select("n_nationkey", clean_text(name).alias("name_clean"), clean_text(place).alias("place_clean"),
+                              clean_text(F.concat_ws(" / ", name, place)).alias("both_clean")))
+
+
 @query("stateless_steps", with_sales(f"""
 SELECT count(*) AS n_rows, count(DISTINCT make || '_' || model) AS n_make_model,
        CAST(sum(CASE WHEN doorNumber = 'n/a' THEN 1 ELSE 0 END) AS BIGINT) AS n_door_null,
