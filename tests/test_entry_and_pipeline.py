@@ -197,15 +197,14 @@ def test_model_queries_take_the_defaults(spark, sf, monkeypatch):
     assert got["cfg"] == _train_cfg() and got["cfg"].spaces is None
     assert (got["cfg"].rounds, got["cfg"].trees, got["cfg"].trials, tuple(got["cfg"].select_methods)) == (300, 200, 30, tuple(SE.SCORERS))
 
-    def evaluate(learners, *a, **kw):
-        got["learners"] = learners
-        return spark.createDataFrame([(k, 0, 1.0) for k in learners], "model string, fold int, rmse double")
-    monkeypatch.setattr(MO, "evaluate_folds", evaluate)
+    def searched(make, space, folds, label, trials=30, seed=42, **kw):
+        got.update(space=space, trials=trials, least=make(**{k: b[1] for k, b in space.items()}))
+        return None
+    monkeypatch.setattr(MO, "search", searched)
     monkeypatch.setattr(T, "fold_frames", lambda *a: [])
-    assert q["param_search"](spark, sf).count() == 30
-    space = MO.SEARCH_SPACE["gbt_leafwise"]
-    for est in got["learners"].values():
-        assert all(space[k][1] <= float(est.getOrDefault(k)) <= space[k][2] for k in space)
+    q["param_search"](spark, sf)
+    assert got["trials"] == 30 and got["space"] is MO.SEARCH_SPACE["gbt_leafwise"]
+    assert (got["least"].params.rounds, got["least"].params.leaves, got["least"].params.depth) == (200, 15, 5)
 
     monkeypatch.setattr(SE, "method_scores", lambda df, cols, y: spark.createDataFrame(
         [("f_test", c, i, i + 1.0) for i, c in enumerate(cols)], "method string, feature string, position long, score double"))

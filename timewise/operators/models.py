@@ -1,8 +1,9 @@
 """Learners, ensembles, evaluation over time folds and parameter search
-(SURVEY 2.9), all on ``pyspark.ml``.
+(SURVEY 2.9).  Boosted trees are ``operators.trees``; forests and linear models
+are ``pyspark.ml``.
 
-Fits run on executors; the driver only submits jobs (in parallel threads
-for model x fold x trial) and receives metrics tables.
+Fits run on executors; the driver only submits jobs (in parallel threads per
+fold, all boosted models of a frame in one job) and receives metrics tables.
 """
 from __future__ import annotations
 
@@ -14,29 +15,29 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timewise.operators.metrics import METRICS, metrics
+from timewise.operators.trees import Frame, TreeLearner, TreeModel, TreeParams, all_predictions, fit_learners, fit_many
+
+from timewise.sources.io import load_state, save_state
 
 FEATURES = "features"
 PRED = "prediction"
 
 
-def gbt_leafwise(label: str, seed: int = 42, rounds: int = 300, **kw) -> GBTRegressor:
-    """Boosted trees in the leaf-wise setting (300 x depth 8, step 0.05,
-    80 % rows and columns, >= 20 rows per leaf)."""
-    p = dict(maxIter=rounds, stepSize=0.05, maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-             minInstancesPerNode=20, seed=seed)
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, **{**p, **kw})
+def gbt_leafwise(label: str, seed: int = 42, rounds: int = 300, **kw) -> TreeLearner:
+    """Best-first boosted trees: 300 x 31 leaves, depth 8, step 0.05, 80 % of
+    rows and columns a tree, >= 20 rows a leaf, penalties 0.1."""
+    return TreeLearner(TreeParams(**{**dict(rounds=rounds, seed=seed), **kw}), label)
 
 
-def gbt_depthwise(label: str, seed: int = 43, rounds: int = 300, **kw) -> GBTRegressor:
-    """Boosted trees in the depth-wise setting (as above, >= 5 rows per leaf)."""
-    p = dict(maxIter=rounds, stepSize=0.05, maxDepth=8, subsamplingRate=0.8, featureSubsetStrategy="0.8",
-             minInstancesPerNode=5, seed=seed)
-    return GBTRegressor(featuresCol=FEATURES, labelCol=label, **{**p, **kw})
+def gbt_depthwise(label: str, seed: int = 43, rounds: int = 300, **kw) -> TreeLearner:
+    """Depth-wise boosted trees: as above with no limit of leaves and >= 5
+    rows a leaf."""
+    return TreeLearner(TreeParams(**{**dict(rounds=rounds, seed=seed, leaves=0, min_rows=5), **kw}), label)
 
 
 def forest(label: str, seed: int = 44, trees: int = 200, **kw) -> RandomForestRegressor:
@@ -111,9 +112,22 @@ def base_predictions(models: Sequence, df: DataFrame, features: Sequence[str]) -
 
 
 def fit_all(estimators: Sequence, df: DataFrame, features: Sequence[str], threads: int = 4) -> list:
+    """All estimators on the same rows: tree learners in one go, the others in
+    threads beside them."""
     data = _assembled(df, features)
+    trees = [e for e in estimators if isinstance(e, TreeLearner)]
     with ThreadPoolExecutor(max(1, threads)) as ex:
-        return list(ex.map(lambda est: est.fit(data), estimators))
+        grown = ex.submit(lambda: fit_learners(trees, df, features) if trees else [])
+        others = [None if isinstance(e, TreeLearner) else ex.submit(e.fit, data) for e in estimators]
+        ready = iter(grown.result())
+        return [next(ready) if o is None else o.result() for o in others]
+
+
+def with_params(estimator, changes: Mapping):
+    """A copy of an estimator with other settings, by name."""
+    if isinstance(estimator, TreeLearner):
+        return estimator.copy(dict(changes))
+    return estimator.copy({estimator.getParam(k): v for k, v in changes.items()})
 
 
 def fit_single(estimator, df: DataFrame, features: Sequence[str]) -> SingleModel:
@@ -153,14 +167,19 @@ def save_learner(learner, path: str) -> dict:
     """Write the fitted stages under ``path``; returns what to remember."""
     kind = next(k for k, c in KINDS.items() if type(learner) is c)
     stages = [*learner.models, *([learner.meta] if kind == "stacking" else [])]
+    own = [isinstance(m, TreeModel) for m in stages]
     for i, m in enumerate(stages):
-        m.write().overwrite().save(f"{path}/{i}")
-    return {"kind": kind, "stages": len(stages), "features": list(learner.features)}
+        if own[i]:
+            save_state(SparkSession.getActiveSession(), f"{path}/{i}", m.to_dict())
+        else:
+            m.write().overwrite().save(f"{path}/{i}")
+    return {"kind": kind, "stages": len(stages), "features": list(learner.features), "trees": own}
 
 
 def load_learner(spark, saved: dict, path: str):
     from pyspark.ml.util import DefaultParamsReader
-    stages = [DefaultParamsReader.loadParamsInstance(f"{path}/{i}", spark) for i in range(saved["stages"])]
+    stages = [TreeModel.from_dict(load_state(spark, f"{path}/{i}")[0]) if saved["trees"][i] else DefaultParamsReader.loadParamsInstance(f"{path}/{i}", spark)
+              for i in range(saved["stages"])]
     if saved["kind"] == "stacking":
         return StackingModel(stages[:-1], saved["features"], stages[-1])
     return KINDS[saved["kind"]](stages, saved["features"])
@@ -229,15 +248,13 @@ def best_model(ranked: DataFrame) -> str:
     return ranked.limit(1).first()["model"]
 
 
-# Search ranges per learner family (the penalties of the
-# reference's boosting engines have no counterpart in pyspark.ml).
+# Search ranges per learner family.
 SEARCH_SPACE = {
-    "gbt_leafwise": {"maxIter": ("int", 200, 500), "stepSize": ("float", 0.01, 0.1), "maxDepth": ("int", 5, 15),
-                     "minInstancesPerNode": ("int", 10, 50), "subsamplingRate": ("float", 0.7, 1.0),
-                     "featureSubsetStrategy": ("share", 0.7, 1.0)},
-    "gbt_depthwise": {"maxIter": ("int", 200, 500), "stepSize": ("float", 0.01, 0.1), "maxDepth": ("int", 5, 15),
-                      "minInstancesPerNode": ("int", 5, 50), "subsamplingRate": ("float", 0.7, 1.0),
-                      "featureSubsetStrategy": ("share", 0.7, 1.0)},
+    "gbt_leafwise": {"rounds": ("int", 200, 500), "rate": ("float", 0.01, 0.1), "leaves": ("int", 15, 100), "depth": ("int", 5, 15),
+                     "min_rows": ("int", 10, 50), "rows": ("float", 0.7, 1.0), "cols": ("float", 0.7, 1.0),
+                     "alpha": ("float", 0.01, 1.0), "lam": ("float", 0.01, 1.0)},
+    "gbt_depthwise": {"rounds": ("int", 200, 500), "rate": ("float", 0.01, 0.1), "depth": ("int", 5, 15), "min_rows": ("int", 5, 50),
+                      "rows": ("float", 0.7, 1.0), "cols": ("float", 0.7, 1.0), "alpha": ("float", 0.01, 1.0), "lam": ("float", 0.01, 1.0)},
     "forest": {"numTrees": ("int", 100, 300), "maxDepth": ("int", 8, 20), "minInstancesPerNode": ("int", 2, 10),
                "featureSubsetStrategy": ("one of", ["sqrt", "log2", "0.7", "0.8", "0.9"])},
 }
@@ -251,9 +268,29 @@ def sample_params(space: Mapping[str, tuple], rng: random.Random) -> dict:
 
 def search(make_estimator, space: Mapping[str, tuple], folds: Sequence[Fold], label: str, trials: int = 30, seed: int = 42,
            threads: int = 4) -> DataFrame:
-    """Seeded random search: mean fold RMSE per trial, best first."""
+    """Seeded random search: mean fold RMSE per trial, best first.
+
+    Tree learners of all trials and folds are fitted together, and a fold's
+    test rows are scored by all trials in one pass."""
     rng = random.Random(seed)
     params = [sample_params(space, rng) for _ in range(trials)]
-    per_fold = evaluate_folds({f"trial_{i}": make_estimator(**p) for i, p in enumerate(params)}, folds, label, threads, ensembles=False)
-    ptab = per_fold.sparkSession.createDataFrame([(f"trial_{i}", str(p)) for i, p in enumerate(params)], "model string, params string")
+    learners = [make_estimator(**p) for p in params]
+    spark = folds[0].train.sparkSession
+    ptab = spark.createDataFrame([(f"trial_{i}", str(p)) for i, p in enumerate(params)], "model string, params string")
+    if all(isinstance(x, TreeLearner) for x in learners):
+        frames = [Frame(f.train, list(f.features), label) for f in folds]
+        jobs = [(k, x.params) for k in range(len(folds)) for x in learners]
+        fitted = fit_many(jobs, frames)
+        per_fold = None
+        for k, f in enumerate(folds):
+            mine = [TreeModel(t, list(f.features)) for (j, _), t in zip(jobs, fitted) if j == k]
+            e = F.col("p") - F.col("y")
+            long = f.test.select(F.col(label).cast("double").alias("y"), F.posexplode(all_predictions(mine)).alias("i", "p"))
+            one = (long.where("y is not null").groupBy("i").agg(F.sqrt(F.avg(e * e)).alias("rmse"))
+                   .select(F.concat(F.lit("trial_"), F.col("i").cast("string")).alias("model"), F.lit(k).cast("long").alias("fold"), "rmse"))
+            rows = one.collect()               # one row a trial
+            one = spark.createDataFrame(rows, one.schema)
+            per_fold = one if per_fold is None else per_fold.unionByName(one)
+    else:
+        per_fold = evaluate_folds({f"trial_{i}": x for i, x in enumerate(learners)}, folds, label, threads, ensembles=False)
     return per_fold.groupBy("model").agg(F.avg("rmse").alias("rmse")).join(ptab, "model").orderBy("rmse", "model")
