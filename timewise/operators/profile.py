@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DateType, NumericType, StringType, TimestampNTZType,
@@ -128,26 +129,41 @@ def box_stats(df: DataFrame, cols: Sequence[str], whis: float = 1.5, method: str
 
 def correlation(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r for every ordered pair (diagonal 1.0 where the sample
-    standard deviation is positive), over the rows where both are finite.
-
-    Each row is turned into one (col_a, col_b, x, y) row per unordered pair
-    and one ``corr`` runs grouped by the pair: a narrow generate feeding a
-    map-side partial aggregation, so the stage keeps whole-stage codegen
-    (a single aggregate with p(p-1)/2 ``corr`` buffers outgrows it) and the
-    shuffle carries one small buffer per pair and partition.  For very wide
-    inputs use ``pyspark.ml.stat.Correlation`` on an assembled vector."""
-    x = finite_frame(df, cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i <= j]
-    gen = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"),
-                             F.col(a).alias("x"), F.col(b).alias("y")) for a, b in pairs])
-    per_pair = x.select(F.inline(gen)).groupBy("col_a", "col_b").agg(
-        F.corr("x", "y").alias("r"), F.stddev_samp("x").alias("sd"))
-    r = finite(F.when(F.col("col_a") == F.col("col_b"), F.when(F.col("sd") > 0, F.lit(1.0)))
-               .otherwise(F.col("r")))
-    ab = F.struct(F.col("col_a"), F.col("col_b"), r.alias("r"))
-    ba = F.struct(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), r.alias("r"))
-    both = F.when(F.col("col_a") == F.col("col_b"), F.array(ab)).otherwise(F.array(ab, ba))
-    return per_pair.select(F.inline(both))
+    standard deviation is positive), over the rows where both are finite, from
+    blocked cross products (``operators.gram``)."""
+    from timewise.operators.gram import correlations
+    r = correlations(finite_frame(df, cols), cols)
+    rows = [(a, b, None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
+def association(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Cramer's V for every ordered pair of text columns (diagonal 1.0 where
+    there are two levels), over the rows where both are present: 0 for
+    independent columns, 1 where one decides the other.
+
+    One grouped count per pair of levels (combined map-side) is all that is
+    taken from the rows; margins and the statistic come from the counts."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    if not pairs:
+        return df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, v double")
+    text = df.select(*[F.col(f"`{c}`").cast("string").alias(f"t{i}") for i, c in enumerate(cols)])
+    at = {c: f"t{i}" for i, c in enumerate(cols)}
+    gen = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(at[a]).alias("x"), F.col(at[b]).alias("y")) for a, b in pairs])
+    cells = (text.select(F.inline(gen)).where("x is not null and y is not null").groupBy("col_a", "col_b", "x", "y").agg(F.count(F.lit(1)).alias("n")))
+    mx = cells.groupBy("col_a", "col_b", "x").agg(F.sum("n").alias("nx"))
+    my = cells.groupBy("col_a", "col_b", "y").agg(F.sum("n").alias("ny"))
+    total = mx.groupBy("col_a", "col_b").agg(F.sum("nx").alias("n_all"), F.count(F.lit(1)).alias("r"))
+    levels = my.groupBy("col_a", "col_b").agg(F.count(F.lit(1)).alias("c"))
+    part = (cells.join(mx, ["col_a", "col_b", "x"]).join(my, ["col_a", "col_b", "y"])
+            .groupBy("col_a", "col_b").agg(F.sum(F.col("n").cast("double") * F.col("n") / (F.col("nx").cast("double") * F.col("ny"))).alias("s")))
+    least = F.least(F.col("r"), F.col("c")) - 1
+    v = F.when(least > 0, F.sqrt(F.greatest(F.lit(0.0), F.col("s") - 1.0) / least))
+    per = part.join(total, ["col_a", "col_b"]).join(levels, ["col_a", "col_b"]).select("col_a", "col_b", v.alias("v"))
+    both = per.unionByName(per.select(F.col("col_b").alias("col_a"), F.col("col_a").alias("col_b"), "v"))
+    own = text.select(*[F.when(F.min(at[c]) < F.max(at[c]), F.lit(1.0)).alias(f"v{i}") for i, c in enumerate(cols)])
+    diagonal = own.select(F.inline(F.array(*[F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.col(f"v{i}").alias("v")) for i, c in enumerate(cols)])))
+    return both.unionByName(diagonal)
 
 
 def top_values(df: DataFrame, cols: Sequence[str], k: int = 10, null_label: str = "Unknown") -> DataFrame:
@@ -229,12 +245,16 @@ def level_balance(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def alerts(profile_df: DataFrame, corr_df: DataFrame, balance_df: DataFrame, corr_threshold: float = 0.9,
-           imbalance_threshold: float = 0.5, high_cardinality: int = 50) -> DataFrame:
-    """Alerts as (column, alert, value): high correlation (each unordered
-    pair once, on the first column), imbalance, high cardinality, unique."""
+           imbalance_threshold: float = 0.5, high_cardinality: int = 50, assoc_df: DataFrame | None = None) -> DataFrame:
+    """Alerts as (column, alert, value): high correlation of numbers and, with
+    ``assoc_df``, of text columns (each unordered pair once, on the first
+    column), imbalance, high cardinality, unique."""
     hc = corr_df.where((F.col("col_a") < F.col("col_b")) & (F.abs("r") > corr_threshold)).select(
         F.col("col_a").alias("column"), F.concat(F.lit("high_correlation:"), F.col("col_b")).alias("alert"),
         F.col("r").alias("value"))
+    if assoc_df is not None:
+        hc = hc.unionByName(assoc_df.where((F.col("col_a") < F.col("col_b")) & (F.col("v") > corr_threshold)).select(
+            F.col("col_a").alias("column"), F.concat(F.lit("high_correlation:"), F.col("col_b")).alias("alert"), F.col("v").alias("value")))
     imb = balance_df.where(F.col("imbalance") > imbalance_threshold).select(
         "column", F.lit("imbalance").alias("alert"), F.col("imbalance").alias("value"))
     # both profile alerts from one read of the profile table

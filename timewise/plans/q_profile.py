@@ -175,6 +175,28 @@ def q_profile(spark, sf):
 BAL = ["colour", "aestheticGrade", "mechanicalGrade", "type", "fuel", "transmission", "make_model"]
 
 
+ASSOC = ["colour", "fuel", "transmission", "make", "type"]
+
+
+def _assoc_sql(cols=ASSOC, src="sales", rounded=True):
+    parts = []
+    for a in cols:
+        for b in cols:
+            if a == b:
+                parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, CASE WHEN min({a}) < max({a}) THEN 1.0 END AS v FROM {src}")
+                continue
+            cells = f"(SELECT {a} AS x, {b} AS y, count(*) AS n FROM {src} WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1, 2)"
+            v = "sqrt(greatest(0, sum(n * n / (nx * ny)) - 1.0) / nullif(least(count(DISTINCT x), count(DISTINCT y)) - 1, 0))"
+            parts.append(f"SELECT '{a}' AS col_a, '{b}' AS col_b, {f'round({v}, 6)' if rounded else v} AS v FROM "
+                         f"(SELECT x, y, CAST(n AS DOUBLE) AS n, sum(n) OVER (PARTITION BY x) AS nx, sum(n) OVER (PARTITION BY y) AS ny FROM {cells})")
+    return " UNION ALL ".join(parts)
+
+
+@query("association", with_sales(_assoc_sql()))
+def q_association(spark, sf):
+    return normalize(P.association(sales(spark, sf), ASSOC))
+
+
 def _alerts_sql():
     pairs = " UNION ALL ".join(
         f"SELECT '{a}' AS \"column\", 'high_correlation:{b}' AS alert, round(corr({a}, {b}), 6) AS value FROM st "
@@ -194,14 +216,15 @@ SELECT "column", 'imbalance', round(imb, 6) FROM (
 SELECT "column", 'high_cardinality', CAST(d AS DOUBLE) FROM ({card}) WHERE kind = 'string' AND d > 50
 UNION ALL
 SELECT "column", 'unique', CAST(d AS DOUBLE) FROM ({card}) WHERE d = n AND m = 0"""
-    return pairs + " UNION ALL " + imb + " UNION ALL " + rest
+    assoc = (f"SELECT col_a, 'high_correlation:' || col_b, round(v, 6) FROM ({_assoc_sql(BAL, 'st', False)}) WHERE col_a < col_b AND v > 0.9")
+    return pairs + " UNION ALL " + imb + " UNION ALL " + rest + " UNION ALL " + assoc
 
 
 @query("alerts", with_clean(_alerts_sql()))
 def q_alerts(spark, sf):
     s = clean_sales(spark, sf).select(*CORR, *BAL)
     prof = P.profile(s)
-    return normalize(P.alerts(prof, P.correlation(s, CORR), P.level_balance(s, BAL)))
+    return normalize(P.alerts(prof, P.correlation(s, CORR), P.level_balance(s, BAL), assoc_df=P.association(s, BAL)))
 
 
 @query("sample_n")

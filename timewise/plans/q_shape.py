@@ -50,6 +50,29 @@ def _ll_sql(src: str, x: str, name: str):
         f"({l} - 1.0) * sum(sign({x}) * ln(1 + abs({x}))), 6) AS loglik FROM {src}" for l in LAMBDAS)
 
 
+def _lambda_sql(x: str, name: str) -> str:
+    """The lambda of largest likelihood by halving a bracket on the sign of a
+    central difference, to about 1e-8."""
+    def ll(lam):
+        pos = f"CASE WHEN abs({lam}) < 1e-12 THEN ln(1 + {x}) ELSE (pow({x} + 1.0, {lam}) - 1.0) / ({lam}) END"
+        neg = f"CASE WHEN abs({lam} - 2) < 1e-12 THEN -ln(1 - {x}) ELSE -(pow(1.0 - {x}, 2.0 - ({lam})) - 1.0) / (2.0 - ({lam})) END"
+        return f"(-count({x}) / 2.0 * ln(var_pop(CASE WHEN {x} >= 0 THEN {pos} ELSE {neg} END)) + ({lam} - 1.0) * sum(sign({x}) * ln(1 + abs({x}))))"
+    mid = "((lo + hi) / 2)"
+    return f"""
+(WITH RECURSIVE b(i, lo, hi) AS (SELECT 0, CAST(-3.0 AS DOUBLE), CAST(5.0 AS DOUBLE) UNION ALL
+ SELECT i + 1, CASE WHEN up THEN {mid} ELSE lo END, CASE WHEN up THEN hi ELSE {mid} END
+ FROM (SELECT i, lo, hi, {ll(f"({mid} + 1e-4)")} > {ll(f"({mid} - 1e-4)")} AS up FROM b, ev WHERE i < 30 GROUP BY i, lo, hi))
+SELECT '{name}' AS source, round({mid}, 5) AS lambda FROM b ORDER BY i DESC LIMIT 1)"""
+
+
+@query("yj_lambda", "WITH ev AS (SELECT value + 1 AS v, value - 50.0 AS w FROM events) SELECT * FROM "
+       + _lambda_sql("v", "shifted_up") + " UNION ALL SELECT * FROM " + _lambda_sql("w", "shifted_down"))
+def q_yj_lambda(spark, sf):
+    ev = read(spark, sf, "events").select((F.col("value") + 1).alias("shifted_up"), (F.col("value") - 50.0).alias("shifted_down"))
+    got = SH.fit_lambdas(ev, ["shifted_up", "shifted_down"])
+    return normalize(spark.createDataFrame([(k, round(v, 5)) for k, v in got.items()], "source string, lambda double"))
+
+
 @query("yj_likelihood",
        "WITH ev AS (SELECT value + 1 AS v, value - 50.0 AS w FROM events) "
        + _ll_sql("ev", "v", "shifted_up") + " UNION ALL " + _ll_sql("ev", "w", "shifted_down"))
