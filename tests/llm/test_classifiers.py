@@ -11,9 +11,9 @@ SF = "/root/testdata/sf0.01"
 
 
 def auc(score, y):
-    order = np.argsort(np.argsort(score))
-    n1 = y.sum()
-    return (order[y == 1].sum() - n1 * (n1 - 1) / 2) / (n1 * (len(y) - n1))
+    """Share of (toxic, clean) pairs in the right order; ties count half."""
+    a, b = score[y == 1][:, None], score[y == 0][None, :]
+    return ((a > b) + 0.5 * (a == b)).mean()
 
 
 @pytest.mark.parametrize("module,label,folds,out,least", [(compression_classifier, "quality", 3, 1, 0.9), (toxicity, "toxic", 5, 0, 0.9)])
@@ -62,8 +62,50 @@ def test_marks_behind_the_first_piece(spark):
 
 
 def test_toxicity_features():
-    codes = toxicity.Codes(["idiot"], ["achli"])
+    codes = toxicity.Codes({"idiot": 5.0}, {"achli": 3.0})
     text = "You 1d10t! The IDIOT, achlichkeit"
     x = dict(zip(toxicity.FEATURES, toxicity.features(text, np.frombuffer(text.encode(), np.uint8), codes)))
     assert (x["hits"], x["start_hits"], x["hidden_hits"], x["any_hit"], x["near_person"]) == (1, 1, 1, 1, 3)
-    assert x["obfuscated"] == 0.2 and x["capitals"] > 0
+    assert x["obfuscated"] == 0.2 and x["capitals"] > 0 and x["best"] == 5 and x["evidence_density"] == 13 / 5
+
+
+def test_features_against_plain_python(spark, sf):
+    """Every feature of every text, worked out anew."""
+    r = np.random.default_rng(5)
+    texts = [t for _, t in EDGES if t] + [x.text for x in spark.read.parquet(f"{sf}/documents.parquet").limit(60).collect()]
+    vocabulary = sorted({toxicity.plain(w) for t in texts for w in t.split()} - {""})
+    words = {str(w): float(k % 7 + 1) for k, w in enumerate(r.choice(vocabulary, 300))}
+    starts = {str(w)[:k]: 2.5 for k in (4, 5, 7) for w in r.choice(vocabulary, 20) if len(w) > k}
+    codes = toxicity.Codes(words, starts)
+    for text in texts:
+        ws = text.split()
+        hit, odds, person, hidden, obfuscated = [], [], [], 0, 0
+        for w in ws:
+            p = toxicity.plain(w)
+            own = [words[p]] if p in words else []
+            begun = [starts[p[:k]] for k in (4, 5, 6, 7) if p[:k] in starts and len(p) >= k]
+            mixed = not p.isalpha() and any(c.isalpha() for c in p) and any(c.isdigit() or c in "@$*#!+" for c in p)
+            read = "".join(toxicity.READING.get(c, c) for c in p).replace("*", "")
+            plainly = [words[read]] if mixed and not own and read in words else []
+            hidden, obfuscated = hidden + bool(plainly), obfuscated + mixed
+            hit.append((bool(own), bool(begun), bool(own + begun + plainly)))
+            odds.append(max(own + begun + plainly, default=0.0))
+            person.append(p in toxicity.SECOND_PERSON)
+        n = len(ws)
+        near = sum(any(person[max(0, i - 5):i + 6]) for i in range(n) if hit[i][2])
+        raw = text.encode()
+        share = lambda chars: sum(b in chars.encode() for b in raw) / len(raw)          # noqa: E731
+        upper = share("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if text.isascii() else sum(c.isupper() for c in text) / len(text)
+        want = [sum(h[0] for h in hit), sum(h[0] for h in hit) / n, sum(h[1] for h in hit), sum(h[1] for h in hit) / n, near, sum(person) / n, upper,
+                share("!?.,;:"), share("#*$%&|<>@~^_+="), share("0123456789"), obfuscated / n, hidden, float(any(h[2] for h in hit)), np.log1p(n),
+                max(odds), np.log1p(sum(odds)), sum(odds) / n] if n else [0.0] * len(toxicity.FEATURES)
+        assert np.allclose(toxicity.features(text, np.frombuffer(raw, np.uint8), codes), want)
+
+
+def test_curve(spark):
+    xs, ys = [0.1, 0.4, 0.4, 0.9], [0.0, 0.2, 0.6, 1.0]
+    p = [0.0, 0.1, 0.25, 0.4, 0.65, 0.9, 1.0]
+    df = spark.createDataFrame([(v,) for v in p], "p double")
+    got = [r[0] for r in df.select(toxicity._curve(df.p, xs, ys)).collect()]
+    assert np.allclose(got, [0, 0, 0.1, 0.6, 0.8, 1, 1])
+    assert [r[0] for r in df.select(toxicity._curve(df.p, [], [])).collect()] == p
