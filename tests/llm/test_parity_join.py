@@ -43,6 +43,26 @@ def test_brute_force(spark, seed, crowd):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("crowd", [0, 3])
+def test_crowded_way_on_longer_texts(spark, crowd):
+    """Weight-2 chunks, later salts and unequal last salts: near copies of
+    100 to 300 words, chained by small edits, around a shared passage."""
+    r = np.random.default_rng(11)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    passage = " ".join(r.choice(vocabulary, 60))
+    rows = []
+    for k in range(9):
+        words = list(r.choice(vocabulary, int(r.integers(100, 300))))
+        for _ in range(7):
+            words = list(words)
+            for at in r.integers(0, len(words), int(r.integers(1, 1 + len(words) // 60))):
+                words[at] = str(r.choice(vocabulary))
+            rows.append((len(rows), " ".join(words) + (" " + passage if k % 3 == 0 else "")))
+    rows += [(100 + k, passage + " " + " ".join(r.choice(vocabulary, 20 + k))) for k in range(8)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in near_duplicates(documents(spark, rows), crowd=crowd).collect()}
+    assert got == brute(rows)
+
+
 def test_edges(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(spark, EDGES)).collect()}
     assert got == brute(EDGES)
@@ -81,3 +101,16 @@ def test_components(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(e, "a long, b long")).collect()}
     assert got == {**{i: 1 for i in range(1, 41)}, 50: 50, 100: 50, 200: 200, 300: 200, 400: 200}
     assert components(spark.createDataFrame([], "a string, b string")).count() == 0
+
+
+def test_a_set_without_spare_keys_is_compared():
+    """Unequal last salts: the pair is kept if the set with the lesser salt is
+    poor, whether or not the other has keys to spare."""
+    import pyarrow as pa
+
+    from timewise.llm.parity_join import _close, dense_sketch
+    s = np.arange(100, dtype=np.uint64)
+    for last, poor, kept in [((0, 1), (1, 0), True), ((0, 1), (0, 1), False), ((0, 0), (1, 0), False), ((0, 0), (1, 1), True), ((2, 1), (0, 1), True)]:
+        t = pa.table({"rep": [1, 2], "component": [1, 2], "n_shingles": [100, 100], "block": [0, 0], "lo": [0, 0], "hi": [0, 0],
+                      "sketch": [dense_sketch(s)] * 2, "last": pa.array(last, pa.int32()), "poor": pa.array(poor, pa.int32())})
+        assert (_close(80)(t).num_rows == 1) == kept

@@ -79,9 +79,10 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: int = 80, k: int
     have = texts.select("doc_id", F.explode(F.array_distinct(shingles(F.col("words"), k))).alias("shingle"))
     want = it.select("item_id", F.explode(F.array_distinct(shingles(F.col("words"), k))).alias("shingle")).distinct()
     n_item = want.groupBy("item_id").agg(F.count("*").alias("n_item"))
-    # a shingle row of a document meets the items that hold it, and only
-    # pairs the search found are kept; rows of one id count a shingle once
-    shared = (have.join(want, "shingle").join(found, ["doc_id", "item_id"], "left_semi").distinct()
-              .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared")))
+    # the pairs the search found ask for their item's shingles; so a shingle
+    # that many items and documents share is only met for found pairs.  Rows
+    # of one id count a shingle once
+    asked = found.join(want, "item_id")
+    shared = (asked.join(have.distinct(), ["doc_id", "shingle"]).groupBy("doc_id", "item_id").agg(F.count("*").alias("n_shared")))
     return (shared.join(n_item, "item_id").where(f"100 * n_shared >= {threshold} * n_item")
             .select("doc_id", "item_id", "n_item", "n_shared", F.round(F.col("n_shared") / F.col("n_item"), 6).alias("containment")))

@@ -31,11 +31,16 @@ different components matter; members of one component need no more pairs.
 Small ones contribute their remaining cross pairs, through an equi-join.
 A crowded one comes from a large group of near copies or a passage that many
 texts share.  It first gets a second star, on its most central member, which
-joins near copies.  The pigeonhole still holds when a set ignores crowded
-buckets, as long as it keeps more than D other keys; one set of a pair with
-keys to spare is enough.  So only members that spent more keys on crowded
-buckets than they can spare are compared there, block against block, and only
-pairs that sizes and sketches allow leave a task.
+joins near copies.  What is left is compared in the crowded bucket only where
+it could be missed elsewhere.  A pair is sure to meet at the lesser of the two
+last salts, because both emit there and the set whose last salt it is has more
+strong chunks than the two can differ in (sets that fell back to shingles
+count as one salt further on).  That still holds when the set ignores its
+crowded buckets, as long as it spent no more keys on them than it can spare;
+a set that spent more is poor.  So two members are compared there if the one
+with the lesser last salt is poor, or both are where the salts are equal:
+block against block, and only pairs that sizes and sketches allow leave a
+task.
 
 Edge cases: null or blank text has an empty set, links with nothing and is a
 component of its own; texts below five words have their whole word sequence
@@ -89,9 +94,10 @@ def _chunks(s: np.ndarray, band: int, salt: int, groups: int, weight: int) -> np
 
 
 def dealt(s: np.ndarray, t: int):
-    """Of a set (sorted distinct shingle hashes): (band, keys, slack) for
-    every band it is emitted in.  Slack is how many of the keys of the last
-    salt the pigeonhole can spare (-1 where it fell back to shingles)."""
+    """Of a set (sorted distinct shingle hashes): (band, keys, slack, last
+    salt) for every band it is emitted in.  Slack is how many of the keys of
+    the last salt the pigeonhole can spare (-1, and the salt after the last,
+    where it fell back to shingles)."""
     n = len(s)
     top = 100 * n // t                    # the largest partner
     for band in range(band_of(n), band_of(top) + 1):
@@ -108,15 +114,15 @@ def dealt(s: np.ndarray, t: int):
             if slack >= 0:
                 break
         else:
-            slack = -1
+            slack, salt = -1, SALTS
             out.append(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5 + band)))
         # the lowest six bits of a key name its band
-        yield band, np.concatenate(out) & ~np.uint64(63) | np.uint64(band), slack
+        yield band, np.concatenate(out) & ~np.uint64(63) | np.uint64(band), slack, salt
 
 
 def chunk_keys(s: np.ndarray, t: int) -> np.ndarray:
     """All bucket keys of a set."""
-    return np.concatenate([keys for _, keys, _ in dealt(s, t)])
+    return np.concatenate([keys for _, keys, _, _ in dealt(s, t)])
 
 
 def dense_sketch(s: np.ndarray) -> bytes:
@@ -148,16 +154,18 @@ def _describe(batches):
 
 def _close(t: int):
     """Of two blocks of a bucket (lo and hi; equal for a block with itself):
-    the pairs of different components whose sizes and dense sketches allow a
-    link.  No other pair leaves the task."""
+    the pairs of different components that could be missed elsewhere and whose
+    sizes and dense sketches allow a link.  No other pair leaves the task."""
     def run(table: pa.Table) -> pa.Table:
         rep, comp, n = (table.column(c).to_numpy() for c in ("rep", "component", "n_shingles"))
         block, lo, hi = table.column("block").to_numpy(), table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
         sketch = np.frombuffer(b"".join(x.as_py() for x in table.column("sketch")), np.uint64).reshape(len(rep), -1)
+        last, poor = table.column("last").to_numpy(), table.column("poor").to_numpy()
         left, right = np.flatnonzero(block == lo), np.flatnonzero(block == hi)
         xs, ys = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for i in left:
             j = right[(comp[right] != comp[i]) & ((rep[right] > rep[i]) if lo == hi else True)]
+            j = j[((last[j] >= last[i]) <= poor[i]) & ((last[j] <= last[i]) <= poor[j])]
             j = j[100 * np.minimum(n[j], n[i]) >= t * np.maximum(n[j], n[i])]
             far = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1)
             j = j[far <= max_difference(n[j], n[i], t)]
@@ -173,9 +181,10 @@ def _slack(t: int):
             ids, rows = batch.column("doc_id").to_pylist(), []
             for first, data, offs in blocks(batch.column("text")):
                 for i, s in enumerate(shingle_sets(data, offs)):
-                    rows += [(ids[first + i], band, slack) for band, _, slack in dealt(s, t)]
-            cols = list(zip(*rows)) or [(), (), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64()))], ["rep", "band", "slack"])
+                    rows += [(ids[first + i], band, slack, last) for band, _, slack, last in dealt(s, t)]
+            cols = list(zip(*rows)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int32()))],
+                                             ["rep", "band", "slack", "last"])
     return run
 
 
@@ -325,15 +334,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if crowded.take(1):
         spent = checkpointed(crowded.groupBy("rep", "band").agg(F.count("*").alias("spent")))
         need = small(spent.select(F.col("rep").alias("doc_id")).distinct())
-        slack = texts.join(need, "doc_id", "left_semi").mapInArrow(lean(_slack(threshold)), "rep long, band int, slack long")
-        poor = spent.join(slack, ["rep", "band"]).where("spent > slack").select("rep", "band")
-        poor = crowded.join(poor, ["rep", "band"]).join(classes.select("rep", "n_shingles", "sketch"), "rep")
+        slack = texts.join(need, "doc_id", "left_semi").mapInArrow(lean(_slack(threshold)), "rep long, band int, slack long, last int").distinct()
+        state = spent.join(slack, ["rep", "band"]).select("rep", "band", "last", (F.col("spent") > F.col("slack")).alias("poor"))
+        judged = checkpointed(crowded.drop("n").join(state, ["rep", "band"]))
+        least = judged.where("poor").groupBy("key").agg(F.min("last").alias("least"))
+        open_keys = judged.join(least, "key").where("poor or last > least")
+        size = open_keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+        chosen = open_keys.join(size, "key").join(classes.select("rep", "n_shingles", "sketch"), "rep")
         # block against block, so that no bucket has to fit into one task
         n_blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        rows = poor.withColumn("block", F.pmod(F.xxhash64("rep"), n_blocks).cast("int")).withColumn(
+        rows = chosen.withColumn("block", F.pmod(F.xxhash64("rep"), n_blocks).cast("int")).withColumn(
             "with", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
         rows = rows.select("key", F.least("block", "with").alias("lo"), F.greatest("block", "with").alias("hi"), "block",
-                           "rep", "component", "n_shingles", "sketch")
+                           "rep", "component", "n_shingles", "sketch", "last", F.col("poor").cast("int").alias("poor"))
         cross = cross.union(rows.groupBy("key", "lo", "hi").applyInArrow(lean_group(_close(threshold)), "x long, y long"))
     more = checkpointed(_linked(texts, cross.distinct(), threshold))
     if more.take(1):
