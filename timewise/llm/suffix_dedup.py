@@ -10,7 +10,8 @@ gram hash among their ``length - GRAM + 1`` grams stands at the same offset in
 both.  The suffixes at these anchors (about 1 % of all) are sorted; every
 window of the corpus is served by exactly one anchor, so no repeat is missed.
 
-1. Texts are named by SHA-256.  Equal texts of at least ``length`` bytes are
+1. Texts are named by SHA-256 (in the scan by 64 bits of it, under a salt that
+   keeps all names apart).  Equal texts of at least ``length`` bytes are
    removed whole and searched through one representative.
 2. One scan emits the anchors (gram hash, text, position, range of window
    starts it serves) as packed arrays, one row per (batch, hash part).
@@ -31,7 +32,8 @@ window of the corpus is served by exactly one anchor, so no repeat is missed.
 6. Spans merge per text and the rest of the text is concatenated.
 
 Edge cases: null text is empty; texts below ``length`` bytes are never
-touched; equal rows count as repeats of each other; an empty table gives an
+touched; a row without an id is left whole and counts as no repeat of others
+(unless an equal text has an id); equal rows count as repeats of each other; an empty table gives an
 empty result; extra columns are ignored.
 """
 from __future__ import annotations
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_text, checkpointed, n_partitions
+from .common import as_text, checkpointed, joined_few, n_partitions, small, tidy
 from .textblock import blocks, lean, lean_group, mix, prefix_hash, span_hash
 
 GRAM = 0.4       # share of the match length that makes a gram
@@ -430,21 +432,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     texts = as_text(docs, id_col, text_col)
     named = texts.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
     classes = checkpointed(named.where(F.col("n_bytes") >= length).groupBy("sha", "n_bytes")
-                           .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-                           .withColumn("tid", F.conv(F.substring("sha", 1, 15), 16, 10).cast("long")))
+                           .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")).where("rep is not null"))
+    # short names of the digests: the first salt under which all differ
+    salt = 0
+    while classes.groupBy(F.xxhash64("sha", F.lit(salt)).alias("tid")).count().where("count > 1").take(1):
+        salt += 1
+    classes = classes.withColumn("tid", F.xxhash64("sha", F.lit(salt)))
     parts = 4 * n_partitions(spark)
-    tid = F.conv(F.substring(F.sha2("text", 256), 1, 15), 16, 10).cast("long").alias("tid")
-    marks = checkpointed(texts.where(F.octet_length("text") >= length).select("text", tid)
+    marks = checkpointed(texts.where((F.octet_length("text") >= length) & F.col("doc_id").isNotNull())
+                         .select("text", F.xxhash64(F.sha2("text", 256), F.lit(salt)).alias("tid"))
                          .mapInArrow(lean(_scan(parts, length)), "part int, own int, gram binary, tid binary, place binary")
                          .groupBy("part").applyInArrow(lean_group(_repeated), "own int, gram long, n long, tid long, pos int, lo int, hi int"))
-    marks = marks.join(classes.select("tid", F.col("rep").alias("doc_id")), "tid")
+    tidy(spark)
+    marks = checkpointed(marks.join(classes.select("tid", F.col("rep").alias("doc_id")), "tid").drop("tid"))
     own = marks.where("own = 1").select("doc_id", F.col("lo").cast("long").alias("start"), F.col("hi").cast("long").alias("end"))
 
     def surroundings(which):
-        per_doc = (marks.where("own = 0").where(which)
-                   .groupBy("doc_id").agg(F.collect_list(F.struct(F.pmod(F.xxhash64("gram"), F.lit(parts)).cast("int").alias("part"),
-                                                                  "gram", "pos", "lo", "hi")).alias("marks")))
-        return texts.join(per_doc, "doc_id").mapInArrow(
+        mine = marks.where("own = 0").where(which)
+        per_doc = mine.groupBy("doc_id").agg(F.collect_list(F.struct(F.pmod(F.xxhash64("gram"), F.lit(parts)).cast("int").alias("part"),
+                                                                     "gram", "pos", "lo", "hi")).alias("marks"))
+        bearers = texts.join(small(mine.select("doc_id").distinct()), "doc_id", "left_semi")
+        return bearers.dropDuplicates(["doc_id"]).join(per_doc, "doc_id").mapInArrow(
             lean(_around(length)), "part int, gram long, doc_id long, pos int, lo int, hi int, around binary")
 
     found = (surroundings(F.col("n") <= hot).groupBy("part")
@@ -456,24 +464,29 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = (found.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
              .mapInArrow(lean(_merge), f"doc_id long, spans {_SPANS}"))
     # one row per id, also where a row is given twice
-    copies = (named.distinct().join(classes.where("copies > 1").select("sha", "rep"), "sha")
+    twice = small(classes.where("copies > 1").select("sha", "rep"))
+    copies = (named.join(twice, "sha").select("doc_id", "n_bytes").distinct()
               .select("doc_id", F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))).alias("spans")))
-    single = spans.join(classes.where("copies > 1").select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
-    return single.unionByName(copies)
+    single = spans.join(twice.select(F.col("rep").alias("doc_id")), "doc_id", "left_anti")
+    out = checkpointed(single.unionByName(copies))
+    tidy(spark)
+    return out
+
+
+def kept_bytes(body, spans):
+    """The bytes of ``body`` outside the spans: the ranges from the end of one
+    to the start of the next."""
+    ends, starts = F.transform(spans, lambda s: s["end"]), F.transform(spans, lambda s: s["start"])
+    gaps = F.zip_with(F.concat(F.array(F.lit(0).cast("long")), ends), F.concat(starts, F.array(F.octet_length(body).cast("long"))),
+                      lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
+    return F.aggregate(gaps, F.expr("cast('' as binary)"), lambda acc, g: F.concat(acc, F.substring(body, (g["a"] + 1).cast("int"), g["n"].cast("int"))))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) for every document: the removed ranges
     and the remaining bytes, concatenated."""
-    texts = as_text(docs, id_col, text_col)
+    body = as_text(docs, id_col, text_col).select("doc_id", F.col("text").cast("binary").alias("body"))
     spans = repeated_spans(docs, id_col, text_col, length, hot)
-    body = texts.select("doc_id", F.col("text").cast("binary").alias("body"))
-    none = F.expr(f"cast(array() as {_SPANS})")
-    t = body.join(spans, "doc_id", "left").withColumn("spans", F.coalesce("spans", none))
-    n = F.octet_length("body").cast("long")
-    # the ranges between the spans: from the end of one to the start of the next
-    gaps = F.zip_with(F.concat(F.array(F.lit(0).cast("long")), F.col("spans.end")), F.concat(F.col("spans.start"), F.array(n)),
-                      lambda a, b: F.struct(a.alias("a"), (b - a).alias("n")))
-    kept = F.aggregate(gaps, F.expr("cast('' as binary)"),
-                       lambda acc, g: F.concat(acc, F.substring(F.col("body"), (g["a"] + 1).cast("int"), g["n"].cast("int"))))
-    return t.select("doc_id", n.alias("n_bytes"), "spans", F.when(F.size("spans") == 0, F.col("body")).otherwise(kept).alias("kept"))
+    t = joined_few(body, spans, "doc_id", {"spans": F.expr(f"cast(array() as {_SPANS})")})
+    return t.select("doc_id", F.octet_length("body").cast("long").alias("n_bytes"), "spans",
+                    F.when(F.size("spans") == 0, F.col("body")).otherwise(kept_bytes(F.col("body"), F.col("spans"))).alias("kept"))
