@@ -17,20 +17,17 @@ carried along.
 """
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from timewise.llm import toxicity as toxicity_model
-from timewise.llm.common import checkpointed, small, table
+from timewise.llm.common import checkpointed, shared_folder, small, table, tidy
 from timewise.llm.decontaminate import contaminated
 from timewise.llm.packing import pack
 from timewise.llm.parity_join import near_duplicates as near_duplicate_classes
-from timewise.llm.suffix_dedup import remove_repeats
+from timewise.llm.suffix_dedup import kept_bytes, repeated_spans
 from timewise.llm.textblock import lean
 
 
@@ -53,23 +50,31 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rest.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(once)
 
 
+#: Bytes of the shortest passage that the stage repeats cuts: a passage of 51
+#: words is longer in any of the languages, so a stage-wide 400 would miss it.
+REPEAT_BYTES = 220
+
+
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes covered by a repeated 400-byte string go, with characters they
-    cut; a document of which nothing remains goes too."""
-    def decode(batches):
+    """Bytes covered by a repeated string of ``REPEAT_BYTES`` bytes go, with
+    characters they cut; a document of which nothing remains goes too."""
+    schema, counted = docs.schema, dict(docs.dtypes).get("n_chars")
+
+    def cut(batches):
         for batch in batches:
-            text = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(text, pa.string())], ["doc_id", "rest_of_text"])
+            text = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept_of_text")]
+            out = [batch.column(c) for c in schema.names]
+            out[schema.names.index("text")] = pa.array(text, batch.schema.field("text").type)
+            if counted:
+                out[schema.names.index("n_chars")] = pa.array([len(t) for t in text]).cast(batch.schema.field("n_chars").type)
+            yield pa.RecordBatch.from_arrays(out, schema.names)
 
-    cut = (remove_repeats(docs).where("size(spans) > 0").select("doc_id", "kept")
-           .mapInArrow(lean(decode), "doc_id long, rest_of_text string"))
-    kind = dict(docs.dtypes).get("n_chars")
-    out = docs.join(cut, "doc_id", "left").where("rest_of_text is null or rest_of_text <> ''")
-    text = F.coalesce("rest_of_text", "text")
-    cols = {"text": text.alias("text")}
-    if kind:
-        cols["n_chars"] = F.when(F.col("rest_of_text").isNull(), F.col("n_chars")).otherwise(F.length("rest_of_text")).cast(kind).alias("n_chars")
-    return out.select([cols.get(c, F.col(f"`{c}`")) for c in docs.columns])
+    spans = repeated_spans(docs, length=REPEAT_BYTES)
+    ids = small(spans.select("doc_id").distinct())
+    hit = (docs.join(ids, "doc_id", "left_semi").join(spans.withColumnRenamed("spans", "spans_of_text"), "doc_id")
+           .select(*docs.columns, kept_bytes(F.col("text").cast("binary"), F.col("spans_of_text")).alias("kept_of_text"))
+           .mapInArrow(lean(cut), schema).where("text <> ''"))
+    return docs.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(hit)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -93,13 +98,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to documents, each written as Parquet and reread."""
-    sc = spark.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="timewise-ckpt-"))
-    folder = f"{sc.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        tidy(spark)
     return docs
