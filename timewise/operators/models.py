@@ -285,7 +285,9 @@ def search(make_estimator, space: Mapping[str, tuple], folds: Sequence[Fold], la
         for k, f in enumerate(folds):
             mine = [TreeModel(t, list(f.features)) for (j, _), t in zip(jobs, fitted) if j == k]
             e = F.col("p") - F.col("y")
-            long = f.test.select(F.col(label).cast("double").alias("y"), F.posexplode(all_predictions(mine)).alias("i", "p"))
+            # scoring by all trials is the work here, not reading: few test rows are spread
+            test = f.test.select(label, *f.features).repartition(spark.sparkContext.defaultParallelism)
+            long = test.select(F.col(label).cast("double").alias("y"), F.posexplode(all_predictions(mine)).alias("i", "p"))
             one = (long.where("y is not null").groupBy("i").agg(F.sqrt(F.avg(e * e)).alias("rmse"))
                    .select(F.concat(F.lit("trial_"), F.col("i").cast("string")).alias("model"), F.lit(k).cast("long").alias("fold"), "rmse"))
             rows = one.collect()               # one row a trial

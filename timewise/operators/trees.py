@@ -255,64 +255,64 @@ def row_weights(block: int, n: int, t: int, p: TreeParams) -> np.ndarray:
 
 
 class Counter:
-    """Histograms of the nodes of one growing tree over rows."""
-
-    def __init__(self, bins: np.ndarray, weight: np.ndarray, gradient: np.ndarray, n_bins: int, code=None):
-        keep = np.flatnonzero(weight)
-        self.bins, self.w, self.g = np.asfortranarray(bins[keep]), weight[keep], gradient[keep] * weight[keep]
-        self.plain = bool((self.w == 1).all())
-        self.n_bins, self.code = n_bins, np.ones(len(keep), np.int64) if code is None else code[keep]
-
-    def count(self, rows: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
-        out = np.empty((slots, self.bins.shape[1], self.n_bins, 2))
-        base, g, w = slot * self.n_bins, self.g[rows], None if self.plain else self.w[rows]
-        for j in range(self.bins.shape[1]):
-            cell = base + self.bins[rows, j]
-            out[:, j, :, 0] = np.bincount(cell, w, slots * self.n_bins).reshape(slots, -1)
-            out[:, j, :, 1] = np.bincount(cell, g, slots * self.n_bins).reshape(slots, -1)
-        return out
+    """Histograms of the nodes of one growing tree over rows.  Every node
+    knows its rows; ``cells`` are bins with the column's offset added."""
+
+    def __init__(self, bins: np.ndarray, cells: np.ndarray, weight: np.ndarray, gradient: np.ndarray, n_bins: int):
+        self.bins, self.cells, self.w, self.g, self.n_bins = bins, cells, weight, gradient, n_bins
+        self.all, self.plain = bool((weight > 0).all()), bool(((weight == 1) | (weight == 0)).all())
+        self.rows = {1: np.arange(len(bins))}
+
+    def count(self, rows: np.ndarray) -> np.ndarray:
+        if not self.all:
+            rows = rows[self.w[rows] > 0]
+        p = self.bins.shape[1]
+        cells, g = self.cells[rows].ravel(), self.g[rows]
+        if self.plain:
+            n = np.bincount(cells, minlength=p * self.n_bins)
+        else:
+            w = self.w[rows]
+            n, g = np.bincount(cells, np.repeat(w, p), p * self.n_bins), g * w
+        return np.stack([n, np.bincount(cells, np.repeat(g, p), p * self.n_bins)], -1).reshape(p, self.n_bins, 2)
 
-    def root(self) -> np.ndarray:
-        return self.count(np.arange(len(self.code)), np.zeros(len(self.code), np.int64), 1)[0]
+    def split(self, ask):
+        for c, f, b, *_ in ask:
+            rows = self.rows.pop(c)
+            right = self.bins[rows, f] > b
+            self.rows[2 * c], self.rows[2 * c + 1] = rows[~right], rows[right]
 
     def wave(self, ask) -> list[np.ndarray]:
         """Split the asked nodes and count the asked children."""
-        self.code = split_rows(self.bins, self.code, ask)
-        small = np.array([a[3] for a in ask])
-        order = np.argsort(small)
-        at = np.minimum(np.searchsorted(small[order], self.code), len(small) - 1)
-        rows = np.flatnonzero(small[order][at] == self.code)
-        return list(self.count(rows, order[at[rows]], len(ask)))
-
-
-def split_rows(bins: np.ndarray, code: np.ndarray, ask) -> np.ndarray:
-    """Node codes after the splits (node, column, bin, ...)."""
-    node = np.array([a[0] for a in ask])
-    order = np.argsort(node)
-    node, col, cut = node[order], np.array([a[1] for a in ask])[order], np.array([a[2] for a in ask])[order]
-    at = np.minimum(np.searchsorted(node, code), len(node) - 1)
-    hit = np.flatnonzero(node[at] == code)
-    out = code.copy()
-    out[hit] = 2 * code[hit] + (bins[hit, col[at[hit]]] > cut[at[hit]])
-    return out
+        self.split(ask)
+        return [self.count(self.rows[a[3]]) for a in ask]
 
+    def leaves(self, tree: dict):
+        """(rows, value) of every leaf of the grown tree."""
+        def under(c):                          # a leaf may have been split on trial
+            return [self.rows[c]] if c in self.rows else under(2 * c) + under(2 * c + 1)
 
-def codes_of(bins: np.ndarray, tree: dict) -> np.ndarray:
-    """The leaf of every row in a grown tree."""
-    code = np.ones(len(bins), np.int64)
-    level = [c for c in tree if c == 1]
-    while level:
-        ask = [(c, *tree[c][:2]) for c in level if tree[c][0] >= 0]
-        if ask:
-            code = split_rows(bins, code, ask)
-        level = [k for c in level if tree[c][0] >= 0 for k in (2 * c, 2 * c + 1)]
-    return code
+        todo = [1]
+        while todo:
+            c = todo.pop()
+            if tree[c][0] < 0:
+                for rows in under(c):
+                    yield rows, tree[c][2]
+                continue
+            if c in self.rows:
+                self.split([(c, *tree[c][:2])])
+            todo += [2 * c, 2 * c + 1]
+
+
+def cells_of(bins: np.ndarray, n_bins: int) -> np.ndarray:
+    return bins + np.arange(bins.shape[1], dtype=np.int32) * np.int32(n_bins)
 
 
 def values_of(bins: np.ndarray, tree: dict) -> np.ndarray:
-    code = codes_of(bins, tree)
-    leaf = np.array(sorted(c for c in tree if tree[c][0] < 0))
-    return np.array([tree[c][2] for c in leaf])[np.searchsorted(leaf, code)]
+    """The value of the leaf of every row in a grown tree."""
+    out, none = np.empty(len(bins)), np.empty(0)
+    for rows, value in Counter(bins, none, none, none, 0).leaves(tree):
+        out[rows] = value
+    return out
 
 
 def fit_rows(blocks, p: TreeParams, trees: range | None = None) -> tuple[float, list[dict]]:
@@ -321,11 +321,11 @@ def fit_rows(blocks, p: TreeParams, trees: range | None = None) -> tuple[float,
     blocks = sorted(blocks, key=lambda b: b[0])
     bins, y = np.concatenate([b[1] for b in blocks]), np.concatenate([b[2] for b in blocks])
     base = 0.0 if p.forest else float(y.mean())
-    score, grown = np.full(len(y), base), []
+    score, grown, cells = np.full(len(y), base), [], cells_of(bins, p.bins + 1)
     for t in trees if trees is not None else range(p.rounds):
         weight = np.concatenate([row_weights(b, len(x), t, p) for b, x, _ in blocks])
-        counter = Counter(bins, weight, score - y, p.bins + 1)
-        steps = grow(counter.root(), t, p)
+        counter = Counter(bins, cells, weight, score - y, p.bins + 1)
+        steps = grow(counter.count(counter.rows[1]), t, p)
         try:
             ask = next(steps)
             while True:
@@ -334,7 +334,8 @@ def fit_rows(blocks, p: TreeParams, trees: range | None = None) -> tuple[float,
             tree = done.value
         grown.append(tree)
         if not p.forest:
-            score += values_of(bins, tree)
+            for rows, value in counter.leaves(tree):
+                score[rows] += value
     return base, grown
 
 
@@ -497,11 +498,10 @@ def _in_waves(table: DataFrame, jobs, mine, frames) -> dict:
                             continue
                         past, ask = asks[i]
                         p = params[i]
-                        code = np.ones(len(y), np.int64)
+                        c = Counter(bins, cells_of(bins, p.bins + 1), row_weights(block, len(y), t, p), score[k] - y, p.bins + 1)
                         for wave in past:
-                            code = split_rows(bins, code, wave)
-                        c = Counter(bins, row_weights(block, len(y), t, p), score[k] - y, p.bins + 1, code)
-                        h = np.stack(c.wave(ask)) if ask else c.root()[None]
+                            c.split(wave)
+                        h = np.stack(c.wave(ask)) if ask else c.count(c.rows[1])[None]
                         total[i] = total[i] + h if i in total else h
             if total:
                 yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([h.tobytes() for h in total.values()], pa.binary())], ["model", "hist"])
