@@ -304,7 +304,7 @@ class Counter:
 
 
 def cells_of(bins: np.ndarray, n_bins: int) -> np.ndarray:
-    return bins + np.arange(bins.shape[1], dtype=np.int32) * np.int32(n_bins)
+    return bins.astype(np.intp) + np.arange(bins.shape[1]) * n_bins
 
 
 def values_of(bins: np.ndarray, tree: dict) -> np.ndarray:
