@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from timewise.llm.lm_scoring import lm_scores
-from timewise.llm.token_counts import allocate, line_sections, section_tokens
+from timewise.llm.token_counts import allocate, byte_sections, line_sections, section_tokens
 
 from .helpers import EDGES, documents
 
@@ -36,6 +36,32 @@ def test_sections_add_up(spark, sf):
         assert {i: got[i] for i in want} == want
 
 
+@pytest.mark.parametrize("rule,size", [("first", 7), ("most", 7), ("last", 7), ("most", 100), ("most", 3)])
+def test_every_section_against_brute_force(spark, sf, rule, size):
+    """Byte ranges that cut through words: each token is followed byte by byte."""
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(25).collect()] + [(-i, x) for i, x in EDGES]
+    want, crossing = {}, 0
+    for i, x in texts:
+        x = x or ""
+        n = len(x.encode())
+        counts = [0] * max(1, -(-n // size))
+        byte_of = np.cumsum([0] + [len(c.encode()) for c in x])
+        at = 0
+        for token in t.encode(x, add_special_tokens=False).tokens:
+            mine = [(at + k) // size for k in range(len(token))]        # a byte-level token has a letter a byte
+            at += len(token)
+            to = {"first": mine[0], "last": mine[-1]}.get(rule, max(sorted(set(mine)), key=mine.count))
+            counts[to] += 1
+            crossing += len(set(mine)) > 1
+        assert at == n == byte_of[-1]
+        want.update({(i, k): c for k, c in enumerate(counts)})
+    got = section_tokens(documents(spark, texts), RANKS, P.PATTERN, rule, byte_sections(size)).collect()
+    assert {(r.doc_id, r.section): r.n_tokens for r in got} == want
+    assert crossing > 100
+
+
 def test_rules():
     tokens, sections = np.array([2, 5, 6, 12]), np.array([4, 6, 7, 10, 12])
     assert list(allocate(tokens, sections, "first")[0]) == [0, 0, 1, 2]

@@ -85,8 +85,11 @@ def _bins() -> list[Column]:
     """The bin of each measure, in integer arithmetic."""
     w, c = F.greatest(F.lit(1), F.col("n_words")), F.greatest(F.lit(1), F.col("word_chars"))
     value = {"symbols": F.expr("n_symbols * 1000") / c, "lines": F.expr("n_dup_lines * 1000") / F.greatest(F.lit(1), F.col("n_lines")),
-             "repeats": F.expr("n_repeat_words * 1000") / w, "length": F.expr("word_chars * 20") / w}
-    return [F.least(F.lit(TOP_BIN), F.floor(v)).cast("long").alias(f"b_{k}") for k, v in value.items()]
+             "repeats": F.expr("n_repeat_words * 1000") / w}
+    # mean word length: bins of 1/20 character up to 50 characters, of 2.5 beyond
+    length = F.floor(F.expr("word_chars * 20") / w)
+    length = F.when(length < TOP_BIN, length).otherwise(TOP_BIN + F.least(F.lit(TOP_BIN), F.floor((length - TOP_BIN) / 50)))
+    return [F.least(F.lit(TOP_BIN), F.floor(v)).cast("long").alias(f"b_{k}") for k, v in value.items()] + [length.cast("long").alias("b_length")]
 
 
 def fences(binned: DataFrame, spread: int = 4, least: int = 50) -> DataFrame:
@@ -108,12 +111,17 @@ def fences(binned: DataFrame, spread: int = 4, least: int = 50) -> DataFrame:
     whole = whole.select(F.col("measure").alias("w_measure"), F.col("q1").alias("w_q1"), F.col("q3").alias("w_q3"))
     j = (group.join(lang, F.col("lang").eqNullSafe(F.col("l_lang")) & (F.col("measure") == F.col("l_measure")))
          .join(whole, F.col("measure") == F.col("w_measure")))
-    pick = lambda q: (F.when(F.col("total") >= least, F.col(q)).when(F.col("l_total") >= least, F.col(f"l_{q}"))
-                      .otherwise(F.col(f"w_{q}")))
-    j = j.select("lang", "source", "measure", pick("q1").alias("q1"), pick("q3").alias("q3"))
     floor = F.create_map(*[x for k, (_, f) in MEASURES.items() for x in (F.lit(k), F.lit(f).cast("long"))])[F.col("measure")]
-    width = F.lit(spread) * F.greatest(F.col("q3") - F.col("q1"), floor)
-    return j.select("lang", "source", "measure", (F.col("q1") - width).alias("lo"), (F.col("q3") + width).alias("hi"))
+
+    def fence(p: str, sign: int) -> Column:
+        width = F.lit(spread) * F.greatest(F.col(f"{p}q3") - F.col(f"{p}q1"), floor)
+        out = F.col(f"{p}q3") + width if sign > 0 else F.col(f"{p}q1") - width
+        return out if p == "w_" else F.when(F.col(f"{p}total") >= least, out)
+
+    # the tightest of the levels that have enough rows: a group full of junk
+    # has loose fences of its own
+    levels = ("", "l_", "w_")
+    return j.select("lang", "source", "measure", F.greatest(*[fence(p, -1) for p in levels]).alias("lo"), F.least(*[fence(p, 1) for p in levels]).alias("hi"))
 
 
 def quality_filter(docs: DataFrame, spread: int = 4, least: int = 50, **columns: str) -> DataFrame:

@@ -24,7 +24,7 @@ from .packing import pack
 from .parity_join import near_duplicates
 from .quality_rules import MEASURES, quality_filter
 from .suffix_dedup import remove_repeats
-from .token_counts import section_tokens
+from .token_counts import byte_sections, section_tokens
 from .url_filter import judge
 from .warc import read_archives, write_archives
 
@@ -58,18 +58,19 @@ m AS (SELECT w.doc_id, lang, source, len(ws) AS n_words, length(regexp_replace(t
              len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines, coalesce(rep.n, 0) AS n_repeat_words
       FROM w LEFT JOIN rep ON rep.doc_id = w.doc_id),
 b AS (SELECT *, least(1000, n_symbols * 1000 // greatest(1, word_chars)) AS symbols, least(1000, n_dup_lines * 1000 // greatest(1, n_lines)) AS lines,
-             least(1000, n_repeat_words * 1000 // greatest(1, n_words)) AS repeats, least(1000, word_chars * 20 // greatest(1, n_words)) AS length FROM m),
+             least(1000, n_repeat_words * 1000 // greatest(1, n_words)) AS repeats, CASE WHEN word_chars * 20 // greatest(1, n_words) < 1000 THEN word_chars * 20 // greatest(1, n_words)
+                       ELSE 1000 + least(1000, (word_chars * 20 // greatest(1, n_words) - 1000) // 50) END AS length FROM m),
 cells AS (SELECT lang, source, 'symbols' AS measure, symbols AS bin FROM b UNION ALL SELECT lang, source, 'lines', lines FROM b
           UNION ALL SELECT lang, source, 'repeats', repeats FROM b UNION ALL SELECT lang, source, 'length', length FROM b),
 g AS (SELECT lang, source, measure, count(*) AS total, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM cells GROUP BY ALL),
 l AS (SELECT lang, measure, count(*) AS total, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM cells GROUP BY ALL),
 a AS (SELECT measure, quantile_disc(bin, 0.25) AS q1, quantile_disc(bin, 0.75) AS q3 FROM cells GROUP BY ALL),
-q AS (SELECT g.lang, g.source, g.measure,
-             CASE WHEN g.total >= 50 THEN g.q1 WHEN l.total >= 50 THEN l.q1 ELSE a.q1 END AS q1,
-             CASE WHEN g.total >= 50 THEN g.q3 WHEN l.total >= 50 THEN l.q3 ELSE a.q3 END AS q3,
+q AS (SELECT g.lang, g.source, g.measure, g.total, g.q1, g.q3, l.total AS lt, l.q1 AS l1, l.q3 AS l3, a.q1 AS a1, a.q3 AS a3,
              CASE g.measure {" ".join(f"WHEN '{k}' THEN {f}" for k, (_, f) in MEASURES.items())} END AS floor
       FROM g JOIN l ON g.lang IS NOT DISTINCT FROM l.lang AND g.measure = l.measure JOIN a ON g.measure = a.measure),
-f AS (SELECT lang, source, measure, q1 - 4 * greatest(q3 - q1, floor) AS lo, q3 + 4 * greatest(q3 - q1, floor) AS hi FROM q),
+f AS (SELECT lang, source, measure,
+             greatest(CASE WHEN total >= 50 THEN q1 - 4 * greatest(q3 - q1, floor) END, CASE WHEN lt >= 50 THEN l1 - 4 * greatest(l3 - l1, floor) END, a1 - 4 * greatest(a3 - a1, floor)) AS lo,
+             least(CASE WHEN total >= 50 THEN q3 + 4 * greatest(q3 - q1, floor) END, CASE WHEN lt >= 50 THEN l3 + 4 * greatest(l3 - l1, floor) END, a3 + 4 * greatest(a3 - a1, floor)) AS hi FROM q),
 p AS (SELECT lang, source, max(hi) FILTER (measure = 'symbols') AS symbols, max(hi) FILTER (measure = 'lines') AS lines,
              max(hi) FILTER (measure = 'repeats') AS repeats, max(hi) FILTER (measure = 'length') AS length, max(lo) FILTER (measure = 'length') AS low
       FROM f GROUP BY ALL),
@@ -198,8 +199,9 @@ def op8_minhash_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every line of every document."""
-    return section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    """Tokens of every 1000 bytes of every document; tokens cross their ends."""
+    return section_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                          sections=byte_sections(1000))
 
 
 _NEAR_SQL = rf"""

@@ -60,6 +60,14 @@ def line_sections(data: np.ndarray) -> np.ndarray:
     return ends if len(ends) and ends[-1] == len(data) else np.append(ends, len(data))
 
 
+def byte_sections(size: int):
+    """Sections of ``size`` bytes (the last one what is left); they cut
+    through words and characters."""
+    def ends(data: np.ndarray) -> np.ndarray:
+        return np.append(np.arange(size, len(data), size), len(data))
+    return ends
+
+
 def allocate(token_ends: np.ndarray, section_ends: np.ndarray, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """The section of each token, and whether it crosses a boundary."""
     start = np.concatenate([[0], token_ends])[:-1].astype(np.int64)
