@@ -17,7 +17,11 @@ PATH = P.path("word_bpe_49k.json")
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 300), max_size=40))
 def test_cut_windows_are_full_and_complete(sizes):
-    windows = pack_cut(sizes, 64)
+    windows, left = pack_cut(sizes, 64)
+    assert left == []
+    full, left = pack_cut(sizes, 64, last=False)
+    assert all(sum(p[2] for p in w) == 64 for w in full) and sum(p[2] for p in left) == sum(sizes) % 64
+    assert sum(n for w in full for *_, n in w) + sum(n for *_, n in left) == sum(sizes)
     pieces = sorted(p for w in windows for p in w)
     assert [n for n in map(lambda w: sum(p[2] for p in w), windows) if n & (n - 1)] == []
     at = defaultdict(int)
@@ -45,10 +49,10 @@ def test_differencing_evens_out():
     assert sums.max() - sums.min() < 0.05 * sums.mean()
 
 
-def check(spark, rows, block):
+def check(spark, rows, block, **kw):
     t = Tokenizer.from_file(PATH)
     ids = {i: np.array(t.encode(x or "", add_special_tokens=False).ids + [2], "<u4") for i, x in rows}
-    out = pack(documents(spark, rows), PATH, block_tokens=block).collect()
+    out = pack(documents(spark, rows), PATH, block_tokens=block, **kw).collect()
     by, seq = defaultdict(list), defaultdict(list)
     for r in out:
         piece = ids[r.doc_id][r.start:r.start + r.length]
@@ -61,11 +65,18 @@ def check(spark, rows, block):
             assert a == at
             at += n
         assert at == full if full is not None else at <= 4096
+    return seq, out
 
 
 def test_round_trip(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
-    check(spark, rows, 50_000)
+    seq, out = check(spark, rows, 50_000)
+    # blocks of one task share their remainder: at most 12 windows a task are not full
+    tasks = len({i >> 40 for i in seq})
+    assert sum(sum(n for _, n in s) < 4096 for s in seq.values()) <= 12 * tasks
+    seq, out = check(spark, rows, 50_000, cut=False)
+    long = {r.doc_id for r in out if r.doc_tokens > 4096}
+    assert all(r.length == r.doc_tokens for r in out if r.doc_id not in long)
 
 
 def test_edges(spark):

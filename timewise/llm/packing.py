@@ -11,9 +11,10 @@ the window count starts at ceil(total / capacity) and rises until no window
 exceeds the capacity.
 
 With ``cut=True`` (free cutting) documents longer than the capacity first give
-off full windows.  The total of the block modulo the capacity is cut off as
-windows of power-of-two sizes, which need no padding.  The remaining total is
-a multiple of the capacity, differencing brings every window near it, and the
+off full windows.  The total of the block modulo the capacity is cut off and
+goes on to the task's next block; behind its last block it becomes windows of
+power-of-two sizes, which need no padding.  The remaining total is a multiple
+of the capacity, differencing brings every window near it, and the
 overhang of a window is cut and moved to windows with room.  Every window is
 then exactly full: there is no padding at all, and few documents are cut.
 
@@ -197,9 +198,10 @@ def pack_whole(sizes, capacity: int) -> np.ndarray:
         windows += 1
 
 
-def pack_cut(sizes, capacity: int) -> list[list[tuple[int, int, int]]]:
-    """Windows as lists of pieces (item, start, length): all but the last few
-    hold exactly ``capacity``, those a power of two."""
+def pack_cut(sizes, capacity: int, last: bool = True) -> tuple[list[list[tuple[int, int, int]]], list[tuple[int, int, int]]]:
+    """(windows, left over): windows are lists of pieces (item, start,
+    length) that hold exactly ``capacity``.  What is left over is less than
+    that; with ``last`` it too is cut into windows, of powers of two."""
     out = []
     rest = []                       # (item, start, length)
     for i, n in enumerate(map(int, sizes)):
@@ -207,22 +209,25 @@ def pack_cut(sizes, capacity: int) -> list[list[tuple[int, int, int]]]:
         out += [[(i, j * capacity, capacity)] for j in range(full)]
         if n > full * capacity:
             rest.append((i, full * capacity, n - full * capacity))
-    extra = sum(x[2] for x in rest) % capacity
-    size = 1
-    while size <= extra:
-        if extra & size:
-            window, need = [], size
-            while need:
-                i, s, n = rest.pop()
-                take = min(n, need)
-                window.append((i, s + n - take, take))
-                if n > take:
-                    rest.append((i, s, n - take))
-                need -= take
-            out.append(window)
-        size *= 2
+
+    def taken(need):
+        window = []
+        while need:
+            i, s, n = rest.pop()
+            take = min(n, need)
+            window.append((i, s + n - take, take))
+            if n > take:
+                rest.append((i, s, n - take))
+            need -= take
+        return window
+
+    extra, left = sum(x[2] for x in rest) % capacity, []
+    if last:
+        out += [taken(1 << k) for k in range(extra.bit_length()) if extra >> k & 1]
+    else:
+        left = taken(extra)
     if not rest:
-        return out
+        return out, left
     windows = sum(x[2] for x in rest) // capacity
     where = differencing(np.array([x[2] for x in rest]), windows)
     bins: list[list] = [[] for _ in range(windows)]
@@ -250,52 +255,68 @@ def pack_cut(sizes, capacity: int) -> list[list[tuple[int, int, int]]]:
                 room.pop()
             else:
                 room[-1][1] -= take
-    return out + bins
+    return out + bins, left
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
 def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 4096, id_col: str = "doc_id",
-         text_col: str = "text", block_tokens: int = 600_000) -> DataFrame:
+         text_col: str = "text", block_tokens: int = 600_000, cut: bool = True) -> DataFrame:
     """One row per piece: (doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset).  ``vocabulary`` is the path of a tokenizer file that
     drops white space between words; a document's ids end with ``end_id``.
-    A block closes at ``block_tokens`` ids (a longer document is a block)."""
+    A block closes at ``block_tokens`` ids (a longer document is a block).
+    Without ``cut`` only documents longer than the capacity are cut, and the
+    window count of a block rises until nothing exceeds the capacity."""
     def run(batches):
         from pyspark import TaskContext
         enc = encoder(vocabulary, end_id)
         serial = TaskContext.get().partitionId() << 40
-
-        def flush(names, ids):
-            nonlocal serial
-            sizes = [len(x) for x in ids]
+        held: list = []             # (document, its ids, first id of the part, length of the part)
+
+        def windows(last):
+            sizes = [n for *_, n in held]
+            if cut:
+                return pack_cut(sizes, capacity, last)
+            out = [[(i, j * capacity, capacity)] for i, n in enumerate(sizes) for j in range(n // capacity)]
+            rest = [(i, n // capacity * capacity, n % capacity) for i, n in enumerate(sizes) if n % capacity]
+            bins: dict[int, list] = {}
+            for w, piece in zip(pack_whole([p[2] for p in rest], capacity), rest):
+                bins.setdefault(int(w), []).append(piece)
+            return out + list(bins.values()), []
+
+        def flush(last):
+            nonlocal serial, held
+            full, left = windows(last)
             cols = [[] for _ in range(7)]
-            for window in pack_cut(sizes, capacity):
+            for window in full:
                 at = 0
                 for i, start, n in window:
-                    crc = zlib.crc32(ids[i][start:start + n].astype("<u4").tobytes())
-                    for c, v in zip(cols, (names[i], start, n, crc, sizes[i], serial, at)):
+                    doc, ids, first, _ = held[i]
+                    start += first
+                    crc = zlib.crc32(ids[start:start + n].astype("<u4").tobytes())
+                    for c, v in zip(cols, (doc, start, n, crc, len(ids), serial, at)):
                         c.append(v)
                     at += n
                 serial += 1
+            held = [(held[i][0], held[i][1], held[i][2] + s, n) for i, s, n in left]
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                               ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
-        names, ids, held = [], [], 0
+        size = 0
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             for first, data, offs in blocks(batch.column("text"), 1 << 21):
                 raw = data.tobytes()
                 texts = [raw[a:b] for a, b in zip(offs[:-1], offs[1:])]
                 for key, x in zip(keys[first:first + len(texts)], enc.encode(texts)):
-                    names.append(key)
-                    ids.append(x)
-                    held += len(x)
-                    if held >= block_tokens:
-                        yield flush(names, ids)
-                        names, ids, held = [], [], 0
-        if names:
-            yield flush(names, ids)
+                    held.append((key, x, 0, len(x)))
+                    size += len(x)
+                    if size >= block_tokens:
+                        yield flush(False)
+                        size = sum(n for *_, n in held)
+        if held:
+            yield flush(True)
 
     return as_text(docs, id_col, text_col).mapInArrow(lean(run), PIECES)
