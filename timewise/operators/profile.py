@@ -270,10 +270,10 @@ def alerts(profile_df: DataFrame, corr_df: DataFrame, balance_df: DataFrame, cor
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 0, key: Sequence[str] | None = None) -> DataFrame:
-    """Deterministic sample of n rows: smallest seeded hash of the key.
+    """Deterministic sample of n rows: smallest seeded MD5 of the key's text.
     Planned as a distributed top-k (per-partition top n, then merge)."""
     cols = list(key) if key else df.columns
-    h = F.xxhash64(F.lit(seed), *[_q(c) for c in cols])
+    h = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(_q(c).cast("string"), F.lit("")) for c in cols]))
     return df.withColumn("_h", h).orderBy("_h", *[_q(c) for c in cols]).limit(n).drop("_h")
 
 

@@ -207,6 +207,25 @@ def q_windows_stream(spark, sf):
     return normalize(read_windows(spark, sink))
 
 
+# One best-first tree of two leaves without penalties: the split of largest
+# gain over all cuts of two features, and the means of its two sides.
+@query("boosted_stump", """
+WITH cuts AS (SELECT 0 AS f, CAST(l_linenumber AS DOUBLE) AS x FROM lineitem UNION SELECT 1, l_discount FROM lineitem),
+g AS (SELECT f, x, sum(y) FILTER (v <= x) AS sl, count(*) FILTER (v <= x) AS nl, sum(y) FILTER (v > x) AS sr, count(*) FILTER (v > x) AS nr
+      FROM cuts JOIN (SELECT 0 AS k, CAST(l_linenumber AS DOUBLE) AS v, l_extendedprice AS y FROM lineitem UNION ALL
+                      SELECT 1, l_discount, l_extendedprice FROM lineitem) ON k = f GROUP BY f, x),
+b AS (SELECT * FROM g WHERE nl >= 20 AND nr >= 20 ORDER BY sl * sl / nl + sr * sr / nr DESC, f, x LIMIT 1)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+       round(CASE WHEN CASE f WHEN 0 THEN l_linenumber ELSE l_discount END <= x THEN sl / nl ELSE sr / nr END, 3) AS prediction
+FROM lineitem, b""")
+def q_stump(spark, sf):
+    from timewise.operators import models as MO
+    li = read(spark, sf, "lineitem")
+    stump = MO.gbt_leafwise("l_extendedprice", rounds=1, rate=1.0, leaves=2, depth=1, alpha=0.0, lam=0.0, rows=1.0, cols=1.0)
+    p = MO.fit_single(stump, li, ["l_linenumber", "l_discount"]).transform(li)
+    return normalize(p.select(*LINE_KEY, F.round("prediction", 3).alias("prediction")))
+
+
 @query("param_search")
 def q_search(spark, sf):
     """Seeded random search over boosted-tree settings on expanding time folds."""

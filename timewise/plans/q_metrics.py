@@ -55,6 +55,20 @@ def q_metrics_by_group(spark, sf):
     return normalize(ME.metrics(predictions(spark, sf), "y", "p", by=["model", "fold"]))
 
 
+# Line 7 has no prediction, so its group is empty: the constants of no rows.
+def _empty_sql():
+    groups = metrics_sql("y", "p", ("line",), src="(SELECT * FROM q WHERE p IS NOT NULL)")
+    gone = ", ".join(f"CAST({v} AS DOUBLE) AS {m}" for m, v in zip(ME.METRICS, ["'inf'", "'inf'", "'-inf'", *["NULL"] * 9]))
+    return (f"WITH {PRED_CTE}, q AS (SELECT CAST(l_linenumber AS BIGINT) AS line, y, CASE WHEN l_linenumber < 7 THEN p END AS p FROM pr)"
+            f"{groups} UNION ALL BY NAME SELECT 7 AS line, 0 AS n, {gone}")
+
+
+@query("metrics_empty_group", _empty_sql())
+def q_metrics_empty(spark, sf):
+    p = predictions(spark, sf).select(F.col("l_linenumber").cast("long").alias("line"), "y", F.when(F.col("l_linenumber") < 7, F.col("p")).alias("p"))
+    return normalize(ME.metrics(p, "y", "p", by=["line"]))
+
+
 def _avg_sql():
     inner = metrics_sql("y", "p", ("model", "fold"), rounded=False)
     cols = ", ".join(f"round(avg({m}), 6) AS {m}" for m in ME.METRICS)

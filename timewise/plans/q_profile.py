@@ -227,9 +227,12 @@ def q_alerts(spark, sf):
     return normalize(P.alerts(prof, P.correlation(s, CORR), P.level_balance(s, BAL), assoc_df=P.association(s, BAL)))
 
 
-@query("sample_n")
+@query("sample_n", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_quantity FROM lineitem
+ORDER BY md5(concat_ws(':', 7, l_orderkey, l_linenumber, l_partkey)), l_orderkey, l_linenumber, l_partkey LIMIT 100""")
 def q_sample(spark, sf):
-    return P.sample_n(read(spark, sf, "lineitem"), 100, seed=7, key=["l_orderkey", "l_linenumber", "l_partkey"])
+    s = P.sample_n(read(spark, sf, "lineitem"), 100, seed=7, key=["l_orderkey", "l_linenumber", "l_partkey"])
+    return normalize(s.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))
 
 
 VER = ["l_orderkey", "saleDate", "kilometers", "cubeCapacity", "doorNumber", "colour", "fuel", "make_model",

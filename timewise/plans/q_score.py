@@ -76,7 +76,7 @@ def q_windows(spark, sf):
     return normalize(SC.score_windows(ev, "ts", "v", "15 seconds"))
 
 
-@query("score_summary")
+@query("score_summary", "WITH " + PRED_CTE + " SELECT count(p) AS n_predictions, round(avg(p), 6) AS mean_prediction FROM pr")
 def q_summary(spark, sf):
     _, summary = SC.score_summary(predictions(spark, sf).withColumnRenamed("p", "prediction"))
-    return summary
+    return normalize(summary.drop("scored_at"))
