@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from .common import as_text
 from .textblock import blocks, lean
 
-WORDS_KEPT = 600_000     # words remembered by one worker before it starts anew
+WORDS_KEPT = 300_000     # words (about 250 bytes each) remembered by one worker before it starts anew
 
 
 class Index(dict):
@@ -72,48 +72,54 @@ class WordEncoder:
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _encode(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of whole words."""
-        odd = [i for i, w in enumerate(words) if self.mark_id is None or b"<|" in w]
-        out: list = [None] * len(words)
-        plain = np.setdiff1d(np.arange(len(words)), odd)
-        groups = [plain[i:i + 512] for i in range(0, len(plain), 512)]
-        texts = [self.mark.join(words[i].decode() for i in g) for g in groups] + [words[i].decode() for i in odd]
-        ids = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        for g, x in zip(groups, ids):
-            cut = np.concatenate([[-1], np.flatnonzero(x == self.mark_id), [len(x)]])
-            for i, a, b in zip(g, cut[:-1] + 1, cut[1:]):
-                out[i] = x[a:b]
-        for i, x in zip(odd, ids[len(groups):]):
-            out[i] = x
-        return out
+    def _store(self, numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray):
+        """The ids of several words, one after the other."""
+        n = len(ids)
+        if self.used + n > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + n, np.uint32)])
+        self.flat[self.used:self.used + n] = ids
+        self.first[numbers], self.count[numbers] = self.used + np.cumsum(counts) - counts, counts
+        self.used += n
+
+    def _encode(self, words: list[bytes], numbers: np.ndarray):
+        """Encode and store whole words: most of them many at a time, with the
+        mark between them; words that could be read as a special token alone."""
+        odd = np.array([self.mark_id is None or b"<|" in w for w in words], bool)
+        plain, mark = np.flatnonzero(~odd), self.mark.encode()
+        groups = [plain[i:i + 512] for i in range(0, len(plain), 512)] + [np.array([i]) for i in np.flatnonzero(odd)]
+        texts = [mark.join([words[i] for i in g]).decode() for g in groups]
+        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            x = np.array(e.ids, np.uint32)
+            if odd[g[0]]:
+                self._store(numbers[g], np.array([len(x)]), x)
+                continue
+            cut = np.flatnonzero(x == self.mark_id)
+            self._store(numbers[g], np.diff(np.concatenate([[-1], cut, [len(x)]])) - 1, x[x != self.mark_id])
 
     def learn(self):
         """Encode the queued words."""
-        index, whole, ended = self.index, [], []
+        index, whole, at, ended = self.index, [], [], []
         while index.queue:
             words, index.queue = index.queue, []
-            for w in words:
+            for i, w in enumerate(words, len(index) - len(words)):     # the queue holds the latest numbers, in order
                 stem = w.rstrip(PUNCTUATION)
-                if stem and len(stem) < len(w) and b"<|" not in w and stem.decode()[-1].isalpha():
-                    ended.append((index[w], index[stem], index[w[len(stem):]]))
+                if stem and len(stem) < len(w) and b"<|" not in w and (stem[-1:].isalpha() if stem[-1] < 128 else stem.decode()[-1].isalpha()):
+                    ended.append((i, index[stem], index[w[len(stem):]]))
                 else:
                     whole.append(w)
+                    at.append(i)
         if len(index) > len(self.first):
             grow = 2 * len(index) - len(self.first)
             self.first, self.count = (np.concatenate([x, np.zeros(grow, np.int64)]) for x in (self.first, self.count))
-        for w, x in zip(whole, self._encode(whole) if whole else ()):
-            self._store(index[w], x)
-        for w, stem, tail in ended:
-            self._store(w, np.concatenate([self.flat[self.first[k]:self.first[k] + self.count[k]] for k in (stem, tail)]))
-
-    def _store(self, i: int, ids: np.ndarray):
-        n = len(ids)
-        if self.used + n > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + n, np.uint32)])
-        self.flat[self.used:self.used + n] = ids
-        self.first[i], self.count[i] = self.used, n
-        self.used += n
+        if whole:
+            self._encode(whole, np.array(at))
+        if ended:
+            w, *parts = np.array(ended).T
+            parts = np.stack(parts, 1).ravel()                         # stem, tail, stem, tail, ...
+            n = self.count[parts]
+            end = np.cumsum(n)
+            ids = self.flat[np.arange(end[-1]) + np.repeat(self.first[parts] - end + n, n)]
+            self._store(w, n.reshape(-1, 2).sum(1), ids)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         if len(self.index) > WORDS_KEPT:
