@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from timewise.operators.trees import Frame, TreeModel, TreeParams, Trees, all_predictions, fit_many
+from timewise.operators.trees import Frame, TreeParams, Trees, fit_many
 
 from .common import as_text, checkpointed
 from .labels import fold, learning_rows
@@ -221,19 +221,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 5
     params = TreeParams(rounds=rounds, rate=rate, depth=depth, leaves=0, min_rows=5, alpha=0.0, lam=1.0, rows=1.0, cols=1.0, seed=seed)
     fitted = fit_many([(i, params) for i in range(len(frames))], frames)
     model.trees = fitted[0]
-    judged = [x.where(F.col("part") == k).select(F.col("y").cast("double").alias("y"), _chance(t).alias("p")) for k, t in zip(whole, fitted[1:])]
-    p = judged[0] if judged else x.select(F.col("y").cast("double").alias("y"), _chance(fitted[0]).alias("p"))
-    for more in judged[1:]:
-        p = p.unionByName(more)
+    judges = dict(zip(whole, fitted[1:]))
+
+    def judged(batches):
+        for b in batches:
+            part, values = b.column("part").to_numpy(), np.column_stack([b.column(c).to_numpy() for c in FEATURES])
+            p, keep = np.zeros(len(part)), np.isin(part, whole) if whole else np.ones(len(part), bool)
+            for k in whole or [None]:
+                mine = keep if k is None else part == k
+                p[mine] = (fitted[0] if k is None else judges[k]).predict(values[mine])
+            yield pa.RecordBatch.from_arrays([pa.array(b.column("y").to_numpy()[keep].astype(np.float64)), pa.array(np.clip(p[keep], 0.0, 1.0))], ["y", "p"])
+
+    p = x.mapInArrow(lean(judged), "y double, p double")
     curve = IsotonicRegression(featuresCol="p", labelCol="y").fit(p)
     model.curve = [float(a) for a in curve.boundaries], [float(a) for a in curve.predictions]
     return model
 
 
-def _chance(trees: Trees):
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), all_predictions([TreeModel(trees, FEATURES)])[0]))
-
-
 def score(docs: DataFrame, model: ToxicityModel, folds: int = 5, held_out: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted, hits) for every document."""
     at = [FEATURES.index(c) for c in ("hits", "start_hits", "hidden_hits")]
