@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -309,7 +308,10 @@ def op13_zstd_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
-@query(corpus_pipeline.ORACLE_SQL)
+@query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole corpus pipeline."""
+    """The whole corpus pipeline (fitted models, byte windows and a tokenizer:
+    no SQL).  The script at the repository top is imported when it is asked
+    for, so the other queries do not depend on it."""
+    import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
