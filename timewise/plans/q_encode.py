@@ -114,7 +114,8 @@ FROM (SELECT *, coalesce(sum(y) OVER ({w_all}), 0) AS s_all, count(y) OVER ({w_a
 
 @query("target_encode", _te_sql("saleDate ASC NULLS LAST, " + ", ".join(TIE_KEY)))
 def q_target_encode(spark, sf):
-    s = _cleaned_sales(spark, sf)
+    # every row, with the columns that the encoder and the result take
+    s = _cleaned_sales(spark, sf).select(*TIE_KEY, "saleDate", "targetPrice", "make_model")
     enc = PastTargetEncoder("make_model", tie=TIE_KEY, sum_scale=2).transform(s)
     return normalize(enc.select(*KEY4, "make_model__te"))
 
