@@ -465,7 +465,7 @@ def _in_waves(table: DataFrame, jobs, mine, frames) -> dict:
 
     def scored(batches, done, start):
         """Blocks with the predictions of their models, ``done`` trees on."""
-        for b in batches:
+        for b in (whole.slice(k, 1) for whole in batches for k in range(whole.num_rows)):     # block by block
             out = []
             for r in b.to_pylist():
                 f = r["frame"]
