@@ -5,9 +5,10 @@ import numpy as np
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from tokenizers import Tokenizer
+from tokenizers import Regex, Tokenizer, normalizers
 
-from timewise.llm.packing import differencing, pack, pack_cut, pack_whole
+from timewise.llm import packing
+from timewise.llm.packing import WordEncoder, differencing, pack, pack_cut, pack_whole, parted
 
 from .helpers import EDGES, documents
 
@@ -82,3 +83,46 @@ def test_round_trip(spark, sf):
 def test_edges(spark):
     check(spark, EDGES + [(30, "<|endoftext|> a<|startoftext|>b İstanbul ΣΑΣ it's 12,5  x y\x85z \x1cq"), (31, "x " * 30000)], 600_000)
     assert pack(documents(spark, []), PATH).count() == 0
+
+
+ODD = ["It's a NAÏVE café, isn't it? don't,stop", "straße,groß.Straße ÿ÷ÿ x́,é. É,é İx ΣΑΣ,σας", "a,b..c...d ,'s foo,'s foo's, foo', o'clock,", "12,5 a1,b2; x=y <b>bold</b> <<a|b>> **kw**",
+       "Word <|endoftext|>, Word,word <|StartOfText|> tail", "x<| y|>,z", "a\x1cb c\x85d e f,g h", "日本,語。 \U0001f600,a ́,b é̸,= a̸", "", " ,", "</w> a</w>,b", "re,'re we're,they'll"]
+
+
+def test_encoder_gives_the_tokenizers_ids():
+    t, enc = Tokenizer.from_file(PATH), WordEncoder(PATH, 2)
+    assert enc.plain is not None
+    rng = np.random.default_rng(1)
+    signs = list("aeéßüñzKÉ09 \t\n,.'!*<|>-_ś·…") + [" ", ", ", "the ", "'s "]
+    texts = ODD + ["".join(rng.choice(signs, 60)) for _ in range(600)]
+    raw = [x.encode() for x in texts]
+    offs = np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    got = enc.encode(parted(np.frombuffer(b"".join(raw), np.uint8), offs))
+    for x, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == t.encode(x, add_special_tokens=False).ids + [2], x
+
+
+def test_other_tokenizers_take_the_marked_way(tmp_path):
+    t = Tokenizer.from_file(PATH)
+    t.normalizer = normalizers.Sequence([normalizers.NFD(), normalizers.Replace(Regex(r"\s+"), " "), normalizers.Lowercase()])
+    t.save(str(tmp_path / "t.json"))
+    enc = WordEncoder(str(tmp_path / "t.json"))
+    text = "één straße, café x"
+    assert enc.plain is None and enc.encode([text.encode()])[0].tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_learned_once(monkeypatch):
+    """A word before punctuation is no new word, and a worker that has seen
+    many rare words still knows the frequent ones."""
+    monkeypatch.setattr(packing, "WORDS_KEPT", 300)
+    t, enc = Tokenizer.from_file(PATH), WordEncoder(PATH)
+    learned = []
+    monkeypatch.setattr(enc, "learn", lambda learn=enc.learn: (learned.extend(enc.index.queue), learn())[1])
+    for k in range(20):
+        text = f"common Common, (common) straße. straße {' '.join(f'rare{chr(97 + k)}{chr(97 + i)}' for i in range(26))} twice{chr(97 + k)} twice{chr(97 + k)}!"
+        raw = text.encode()
+        [ids] = enc.encode(parted(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])))
+        assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+        assert len(enc.index) < 400
+    assert learned.count(b"common") == learned.count("straße".encode()) == 1
+    assert not any(w.startswith(b"common,") for w in learned) and len(learned) > 500

@@ -26,6 +26,9 @@ fills more windows.
 from __future__ import annotations
 
 import heapq
+import json
+import os
+import re
 import sys
 import zlib
 
@@ -34,9 +37,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import as_text
-from .textblock import blocks, lean
+from .textblock import LOWER, blocks, lean
 
-WORDS_KEPT = 300_000     # words (about 250 bytes each) remembered by one worker before it starts anew
+WORDS_KEPT = 300_000     # words (about 250 bytes each) remembered by one worker before it forgets the rare ones
+
+
+#: The normalizer and the split pattern under which a plain word is one piece.
+KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 
 
 class Index(dict):
@@ -51,26 +64,84 @@ class Index(dict):
         return i
 
 
-PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: Lower-case letters of ASCII and Latin-1, which no normalizer changes.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+
+#: ASCII punctuation but the apostrophe, which contractions begin with.
+PUNCTUATION = np.zeros(256, bool)
+PUNCTUATION[[c for c in range(33, 127) if not chr(c).isalnum() and c != 39]] = True
+
+
+def parted(data: np.ndarray, offs: np.ndarray) -> list[bytes]:
+    """The texts of a block, lower-cased, with a space between a plain letter
+    and punctuation behind it, so that a word and the same word before a comma
+    are one.  Texts that could hold a special token, told by its case, stay."""
+    low = LOWER[data]
+    letter = (low >= 97) & (low <= 122)
+    letter[1:] |= (low[:-1] == 0xC3) & (low[1:] >= 0x9F) & (low[1:] != 0xB7)
+    at = np.flatnonzero(letter[:-1] & PUNCTUATION[low[1:]]) + 1
+    special = np.flatnonzero((data[:-1] == 60) & (data[1:] == 124))
+    for r in np.unique(np.searchsorted(offs, special, "right") - 1):
+        low[offs[r]:offs[r + 1]] = data[offs[r]:offs[r + 1]]
+        at = at[(at < offs[r]) | (at >= offs[r + 1])]
+    raw, ends = np.insert(low, at, 32).tobytes(), offs + np.searchsorted(at, offs)
+    return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 class WordEncoder:
     """Token ids of texts under a tokenizer that lower-cases, drops white
     space and never joins words or letters with punctuation: a text's ids are
     its words' ids in order, so each word is encoded once per worker and
-    looked up afterwards.  A word that ends in punctuation is its stem and its
-    tail.  New words are encoded together, with a special token in between."""
+    looked up afterwards.  New words are encoded together.  Plain ones need
+    neither normalizer nor split pattern where the file's are known to leave
+    them whole; their last ids tell them apart.  Others have a special token
+    in between."""
 
     def __init__(self, path: str, end_id: int | None = None, mark: str = "<|startoftext|>"):
-        from tokenizers import Tokenizer
+        # a task has one core: the tokenizer's threads would only compete with the other tasks, and keep memory each
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.end, self.mark, self.mark_id = end_id, mark, self.tokenizer.token_to_id(mark)
+        self.plain = None
+        with open(path, encoding="utf-8") as f:
+            file = json.load(f)
+        suffix = file["model"].get("end_of_word_suffix")
+        if suffix and all(file.get(k) == v for k, v in KNOWN.items()):
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer = normalizers.Sequence([])
+            self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            vocab = self.plain.get_vocab()
+            self.ends_word = np.zeros(max(vocab.values()) + 1, bool)
+            self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.clear()
 
     def clear(self):
         self.index = Index()
         self.flat, self.used = np.empty(1 << 16, np.uint32), 0
         self.first, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.uses = np.zeros(1 << 16, np.int64)
+
+    def forget(self):
+        """Start anew with the words that came up twice or more since the last
+        time, the most used ones if those are many."""
+        uses = self.uses[:len(self.index)]
+        keep = uses >= max(2, np.sort(uses)[-(WORDS_KEPT // 3):][0] + 1)
+        old = np.flatnonzero(keep)
+        words, n = [w for w, k in zip(self.index, keep) if k], self.count[old]
+        end = np.cumsum(n)
+        ids = self.flat[np.arange(n.sum()) + np.repeat(self.first[old] - end + n, n)]
+        self.clear()
+        self.index.update(zip(words, range(len(words))))
+        self._room()
+        self._store(np.arange(len(words)), n, ids)
+
+    def _room(self):
+        """Places for all numbers given so far."""
+        if len(self.index) > len(self.first):
+            grow = 2 * len(self.index) - len(self.first)
+            self.first, self.count, self.uses = (np.concatenate([x, np.zeros(grow, np.int64)]) for x in (self.first, self.count, self.uses))
 
     def _store(self, numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray):
         """The ids of several words, one after the other."""
@@ -81,57 +152,52 @@ class WordEncoder:
         self.first[numbers], self.count[numbers] = self.used + np.cumsum(counts) - counts, counts
         self.used += n
 
-    def _encode(self, words: list[bytes], numbers: np.ndarray):
-        """Encode and store whole words: most of them many at a time, with the
-        mark between them; words that could be read as a special token alone."""
-        odd = np.array([self.mark_id is None or b"<|" in w for w in words], bool)
-        plain, mark = np.flatnonzero(~odd), self.mark.encode()
-        groups = [plain[i:i + 512] for i in range(0, len(plain), 512)] + [np.array([i]) for i in np.flatnonzero(odd)]
-        texts = [mark.join([words[i] for i in g]).decode() for g in groups]
-        for g, e in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            x = np.array(e.ids, np.uint32)
-            if odd[g[0]]:
-                self._store(numbers[g], np.array([len(x)]), x)
-                continue
-            cut = np.flatnonzero(x == self.mark_id)
-            self._store(numbers[g], np.diff(np.concatenate([[-1], cut, [len(x)]])) - 1, x[x != self.mark_id])
+    def _encode(self, tokenizer, groups: list[tuple[np.ndarray, str]], ends):
+        """Encode and store groups of words; ``ends`` gives the ids that count
+        and the end of each word among them.  An encoding is many times its
+        ids, so few live at a time."""
+        for i in range(0, len(groups), 8):
+            few = groups[i:i + 8]
+            for (numbers, _), e in zip(few, tokenizer.encode_batch_fast([t for _, t in few], add_special_tokens=False)):
+                ids, end = ends(np.array(e.ids, np.uint32))
+                self._store(numbers, np.diff(end, prepend=0), ids)
 
     def learn(self):
-        """Encode the queued words."""
-        index, whole, at, ended = self.index, [], [], []
-        while index.queue:
-            words, index.queue = index.queue, []
-            for i, w in enumerate(words, len(index) - len(words)):     # the queue holds the latest numbers, in order
-                stem = w.rstrip(PUNCTUATION)
-                if stem and len(stem) < len(w) and b"<|" not in w and (stem[-1:].isalpha() if stem[-1] < 128 else stem.decode()[-1].isalpha()):
-                    ended.append((i, index[stem], index[w[len(stem):]]))
-                else:
-                    whole.append(w)
-                    at.append(i)
-        if len(index) > len(self.first):
-            grow = 2 * len(index) - len(self.first)
-            self.first, self.count = (np.concatenate([x, np.zeros(grow, np.int64)]) for x in (self.first, self.count))
-        if whole:
-            self._encode(whole, np.array(at))
-        if ended:
-            w, *parts = np.array(ended).T
-            parts = np.stack(parts, 1).ravel()                         # stem, tail, stem, tail, ...
-            n = self.count[parts]
-            end = np.cumsum(n)
-            ids = self.flat[np.arange(end[-1]) + np.repeat(self.first[parts] - end + n, n)]
-            self._store(w, n.reshape(-1, 2).sum(1), ids)
+        """Encode the queued words: most of them many at a time; words that
+        could be read as a special token alone."""
+        words, self.index.queue = self.index.queue, []
+        base = len(self.index) - len(words)         # the queue holds the latest numbers, in order
+        self._room()
+        easy, others, odd, plain = [], [], [], PLAIN.fullmatch if self.plain else lambda w: None
+        for i, w in enumerate(words):
+            (easy if plain(w) else odd if self.mark_id is None or b"<|" in w else others).append(i)
+
+        def groups(which, between, size):
+            for g in (which[i:i + size] for i in range(0, len(which), size)):
+                yield np.array(g) + base, between.join([words[i] for i in g]).decode()
+
+        def marked(ids):
+            cut = np.append(np.flatnonzero(ids == self.mark_id), len(ids))
+            return ids[ids != self.mark_id], cut - np.arange(len(cut))
+
+        self._encode(self.plain, list(groups(easy, b" ", 512)), lambda ids: (ids, np.flatnonzero(self.ends_word[ids]) + 1))
+        self._encode(self.tokenizer, list(groups(others, self.mark.encode(), 512)), marked)
+        self._encode(self.tokenizer, list(groups(odd, b"", 1)), lambda ids: (ids, np.array([len(ids)])))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The ids of each text as ``parted`` gives it."""
         if len(self.index) > WORDS_KEPT:
-            self.clear()
-        # special tokens are told by their case, other text is lower-cased
-        # anyway; white space here is space and 0x09-0x0D
-        words = [(t if b"<|" in t else t.lower()).split() for t in texts]
-        get = self.index.__getitem__
-        numbers = [np.fromiter(map(get, w), np.int64, len(w)) for w in words]
+            self.forget()
+        get, numbers = self.index.__getitem__, []
+        for t in texts:
+            words = t.split()                       # white space here is space and 0x09-0x0D
+            numbers.append(np.fromiter(map(get, words), np.int64, len(words)))
         if self.index.queue:
             self.learn()
         out = []
+        if numbers:
+            used = np.bincount(np.concatenate(numbers))
+            self.uses[:len(used)] += used
         for k in numbers:
             a, n = self.first[k], self.count[k]
             end = np.cumsum(n)
@@ -314,8 +380,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 2, capacity: int = 4096
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
             for first, data, offs in blocks(batch.column("text"), 1 << 21):
-                raw = data.tobytes()
-                texts = [raw[a:b] for a, b in zip(offs[:-1], offs[1:])]
+                texts = parted(data, offs)
                 for key, x in zip(keys[first:first + len(texts)], enc.encode(texts)):
                     held.append((key, x, 0, len(x)))
                     size += len(x)
