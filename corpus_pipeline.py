@@ -27,7 +27,7 @@ from timewise.llm.common import checkpointed, shared_folder, small, table, tidy
 from timewise.llm.decontaminate import contaminated
 from timewise.llm.packing import pack
 from timewise.llm.parity_join import near_duplicates as near_duplicate_classes
-from timewise.llm.suffix_dedup import kept_bytes, repeated_spans
+from timewise.llm.suffix_dedup import PASSAGE, kept_bytes, repeated_spans
 from timewise.llm.textblock import lean
 
 
@@ -52,7 +52,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 #: Bytes of the shortest passage that the stage repeats cuts: a passage of 51
 #: words is longer in any of the languages, so a stage-wide 400 would miss it.
-REPEAT_BYTES = 220
+REPEAT_BYTES = PASSAGE
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

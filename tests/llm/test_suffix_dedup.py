@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from timewise.llm.queries import op4_suffix_dedup
 from timewise.llm.suffix_dedup import Suffixes, remove_repeats
 
 from .helpers import EDGES, documents, random_texts
@@ -61,3 +62,26 @@ def test_mergesort_orders_suffixes():
     back = s.mergesort(np.array([0]), np.array([300]), True)
     keys = [raw[at[i] - min(at[i], 50):at[i]][::-1] for i in back]
     assert keys == sorted(keys)
+
+
+def test_shorter_passages_are_counted(spark):
+    """Bytes in repeated passages below the length are told, but stay."""
+    rows = list(enumerate(random_texts(8, 60, vocabulary=60), 100)) + EDGES
+    df = documents(spark, rows + [rows[0]])
+    got = remove_repeats(df, length=50, passage=30).collect()
+    assert sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.spans], bytes(r.kept)) for r in got) == brute(rows + [rows[0]], 50)
+    want = sorted((i, sum(b - a for a, b in spans)) for i, _, spans, _ in brute(rows + [rows[0]], 30))
+    assert sorted((r.doc_id, r.n_repeated) for r in got) == want
+    assert any(r.n_repeated and not r.spans for r in got)
+
+
+def test_query_tells_passages_of_51_words(spark, tmp_path):
+    r = np.random.default_rng(3)
+    say = lambda n: " ".join("".join(r.choice(list("abcdeghilmnorstu"), r.integers(4, 7))) for _ in range(n))        # noqa: E731
+    passage = say(51)
+    assert 220 < len(passage) < 390
+    rows = [(1, f"{say(40)} {passage} {say(30)}"), (2, f"{passage} {say(60)}"), (3, say(130)), (4, say(20)), (None, passage), (6, None)]
+    documents(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {x.doc_id: x for x in op4_suffix_dedup(spark, str(tmp_path)).collect()}
+    assert all(x.n_removed == x.n_spans == 0 for x in got.values()) and len(got) == len(rows)
+    assert {i for i, x in got.items() if x.n_repeated} == {1, 2} and len(passage) <= got[1].n_repeated <= len(passage) + 4
