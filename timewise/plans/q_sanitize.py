@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from timewise.operators.sanitize import (DEFAULT_NUMERIC_CFG, ColumnPruner, FinalImputer, NumericSanitizer,
                                          ZScore)
+from timewise.plans.cache import settled
 from timewise.plans.common import KEY4, KEY4_SQL, normalize, r6
 from timewise.plans.fixtures import clean_sales, with_clean
 from timewise.plans.registry import query
@@ -40,7 +41,7 @@ _MED_CTE = "med AS (SELECT " + ", ".join(f"median({c}) AS med_{c}" for c in NUM)
     f"SELECT {KEY4_SQL}, " + ", ".join(f"round({_mask_sql(c)}, 6) AS {c}" for c in NUM) + " FROM st, med",
     _MED_CTE))
 def q_sanitize(spark, sf):
-    s = clean_sales(spark, sf)
+    s = settled(clean_sales(spark, sf).select(*KEY4, *NUM))       # read by the fit and by the result
     out = NumericSanitizer().fit(s).transform(s)
     return normalize(out.select(*KEY4, *NUM))
 
@@ -57,7 +58,7 @@ _IMP = ["km_per_year", "doorNumber", "yearIntroduced"]
     "nullif(coalesce(CASE WHEN vehicle_age_years < 0 THEN NULL ELSE vehicle_age_years END, med_vehicle_age_years), 0.0)"
     " AS km_per_year FROM st, med)"))
 def q_final_impute(spark, sf):
-    s = clean_sales(spark, sf)
+    s = settled(clean_sales(spark, sf).select(*KEY4, *dict.fromkeys([*NUM, *_IMP])))
     s = NumericSanitizer().fit(s).transform(s)
     s = s.withColumn("km_per_year", F.try_divide(F.col("kilometers"), F.nullif(F.col("vehicle_age_years"), F.lit(0.0))))
     x = s.select(*KEY4, *_IMP)
