@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from timewise.functions.text import clean_text, clean_text_sql
 from timewise.operators.encode import (BinSpecs, OrdinalEncoder, PastTargetEncoder, TopShareOneHot,
                                        cardinality, level_shares)
+from timewise.plans.cache import settled
 from timewise.plans.common import KEY4, KEY4_SQL, normalize
 from timewise.plans.fixtures import AESTHETIC_MAP, MECHANICAL_MAP, TIE_KEY, sales, with_sales
 from timewise.plans.registry import query
@@ -115,7 +116,7 @@ FROM (SELECT *, coalesce(sum(y) OVER ({w_all}), 0) AS s_all, count(y) OVER ({w_a
 @query("target_encode", _te_sql("saleDate ASC NULLS LAST, " + ", ".join(TIE_KEY)))
 def q_target_encode(spark, sf):
     # every row, with the columns that the encoder and the result take
-    s = _cleaned_sales(spark, sf).select(*TIE_KEY, "saleDate", "targetPrice", "make_model")
+    s = settled(_cleaned_sales(spark, sf).select(*TIE_KEY, "saleDate", "targetPrice", "make_model"))
     enc = PastTargetEncoder("make_model", tie=TIE_KEY, sum_scale=2).transform(s)
     return normalize(enc.select(*KEY4, "make_model__te"))
 
